@@ -74,7 +74,8 @@ def without_blocks(html: Column) -> Column:
 
 def page_title(content: Column) -> Column:
     """`<title>`, else the first `<h1>`; null where there is neither."""
-    return F.coalesce(_plain(_first(content, _TITLE)), _plain(_first(content, _HEADING)))
+    title = _first(content, _TITLE)
+    return _plain(F.coalesce(F.when(title.rlike(r"\S"), title), _first(content, _HEADING)))
 
 
 def page_text(content: Column) -> Column:

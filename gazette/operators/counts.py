@@ -32,20 +32,28 @@ def errors_per_feed(articles: DataFrame) -> DataFrame:
     )
 
 
-def feed_metrics(processed: DataFrame, errors: DataFrame, ts: Column) -> DataFrame:
+def outcomes(articles: DataFrame) -> DataFrame:
+    """Per article: one processed, and one failure or none."""
+    return articles.select(
+        "rss", F.lit(1).alias("processed"),
+        failed(F.col("title"), F.col("content")).cast("int").alias("errors"),
+    )
+
+
+def feed_metrics(outcomes: DataFrame, ts: Column) -> DataFrame:
     """`ProcessedArticles` and `ExtractionErrors` of each feed as metric rows.
 
-    `feed` says whose they are.
+    `outcomes` has `rss`, `processed`, `errors`; `feed` says whose the numbers are.
     """
-    def rows(counts: DataFrame, name: str, value: str) -> DataFrame:
-        return counts.select(
-            F.lit(METRIC_NAMESPACE).alias("namespace"), F.lit(name).alias("metric_name"),
-            F.col(value).cast("double").alias("value"), F.lit(UNIT_COUNT).alias("unit"),
-            ts.alias("ts"), F.col("rss").alias("feed"),
-        )
-
-    done = rows(processed, PROCESSED_ARTICLES, "processed")
-    return done.unionByName(rows(errors, EXTRACTION_ERRORS, "errors"))
+    sums = outcomes.groupBy("rss").agg(F.sum("processed").alias("processed"), F.sum("errors").alias("errors"))
+    data = F.array(*[
+        F.struct(F.lit(name).alias("metric_name"), F.col(value).cast("double").alias("value"))
+        for name, value in ((PROCESSED_ARTICLES, "processed"), (EXTRACTION_ERRORS, "errors"))
+    ])
+    return sums.select(F.col("rss").alias("feed"), F.inline(data)).select(
+        F.lit(METRIC_NAMESPACE).alias("namespace"), "metric_name", "value",
+        F.lit(UNIT_COUNT).alias("unit"), ts.alias("ts"), "feed",
+    )
 
 
 def metric_summary(metrics: DataFrame) -> DataFrame:

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gazette.functions.vectors import METRICS, as_doubles, dot, norm, similarity
+from gazette.functions.vectors import METRICS, as_doubles, similarity
 from gazette.operators.incremental import first_per_key, latest_per_key
 
-# Queries beyond this number are no longer sent to every task.
+# Queries sent to every task at a time.
 MAX_SMALL_QUERIES = 1000
 
 
@@ -76,7 +79,8 @@ def upserted_vectors(current: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def _nearest_first(metric: str) -> Column:
-    return F.desc("score") if METRICS[metric] else F.asc("score")
+    """Vectors without a score, such as one of length zero under cosine, come last."""
+    return F.desc_nulls_last("score") if METRICS[metric] else F.asc_nulls_last("score")
 
 
 def query_vectors(
@@ -105,9 +109,9 @@ def query_vectors(
     return (
         index.filter(F.size("values") == len(vector))
         .withColumn("score", score)
-        .filter("score IS NOT NULL")
         .orderBy(_nearest_first(metric), "id")
         .limit(top_k)
+        .filter("score IS NOT NULL")
     )
 
 
@@ -126,32 +130,80 @@ def search(index: DataFrame, queries: DataFrame, top_k: int, metric: str = "cosi
     """The `top_k` nearest vectors of every query in its namespace.
 
     `queries` has `query_id`, `namespace`, `vector`. Up to `MAX_SMALL_QUERIES` of
-    them go to every task and the index does not move. Beyond that the two meet
-    in a shuffle, each namespace split by the vector's id into as many parts as
-    the shuffle has, so a crowded namespace is shared by all tasks. Either way
-    a task keeps its best `top_k` per query before anything is ranked globally.
+    them go to every task, which scores a block of vectors against all of them
+    and hands on the best `top_k` of the block, so neither the index moves nor
+    any pair becomes a row. More queries are taken in groups of that size, one
+    pass over the index for each.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {sorted(METRICS)}")
-    asked = queries.select("query_id", "namespace", as_doubles(F.col("vector")).alias("vector"))
-    stored = index.select("namespace", "id", as_doubles(F.col("values")).alias("values"))
-    if metric == "cosine":
-        # Lengths are worked out once per vector, not once per pair.
-        asked = asked.withColumn("vector_norm", norm(F.col("vector")))
-        stored = stored.withColumn("values_norm", norm(F.col("values")))
-    if asked.limit(MAX_SMALL_QUERIES + 1).count() <= MAX_SMALL_QUERIES:
-        pairs = stored.join(F.broadcast(asked), "namespace")
-    else:
-        n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        part = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-        parts = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        pairs = stored.withColumn("part", part).join(
-            asked.withColumn("part", parts), ["namespace", "part"]
-        )
-    pairs = pairs.filter(F.size("values") == F.size("vector"))
-    if metric == "cosine":
-        score = F.try_divide(dot(F.col("values"), F.col("vector")), F.col("values_norm") * F.col("vector_norm"))
-    else:
-        score = similarity(F.col("values"), F.col("vector"), metric)
-    scored = pairs.select("query_id", "namespace", "id", score.alias("score")).filter("score IS NOT NULL")
-    return first_per_key(scored, ["query_id"], [_nearest_first(metric), F.asc("id")], top_k)
+    asked = queries.select(
+        F.col("query_id").cast("string").alias("query_id"), "namespace",
+        as_doubles(F.col("vector")).alias("vector"),
+    )
+    groups = max(1, -(-asked.count() // MAX_SMALL_QUERIES))
+    group = F.pmod(F.xxhash64("query_id"), F.lit(groups))
+    blocks = [
+        _block_best(index, asked.filter(group == i).collect(), top_k, metric) for i in range(groups)
+    ]
+    best = first_per_key(
+        reduce(DataFrame.unionByName, blocks), ["query_id"], [_nearest_first(metric), F.asc("id")], top_k
+    )
+    type_ = queries.schema["query_id"].dataType
+    return best.withColumn("query_id", F.col("query_id").cast(type_))
+
+
+def _block_best(index: DataFrame, queries: list, top_k: int, metric: str) -> DataFrame:
+    """The best `top_k` of each Arrow batch of the index for each of a few queries."""
+    sizes = {len(q["vector"]) for q in queries}
+    if len(sizes) > 1:
+        raise ValueError(f"query vectors have different lengths: {sorted(sizes)}")
+    dim = sizes.pop() if sizes else 0
+    asked: dict[str, tuple[list[str], np.ndarray]] = {}
+    for name in {q["namespace"] for q in queries}:
+        mine = [q for q in queries if q["namespace"] == name]
+        asked[name] = ([q["query_id"] for q in mine], np.array([q["vector"] for q in mine], dtype=float))
+    sent = index.sparkSession.sparkContext.broadcast(asked)
+    sign = -1.0 if METRICS[metric] else 1.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("namespace").to_numpy(zero_copy_only=False)
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            vectors = batch.column("values").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            out: list[tuple[str, str, str, float]] = []
+            for name, (query_ids, matrix) in sent.value.items():
+                rows = np.flatnonzero(names == name)
+                scores = _scores(vectors[rows], matrix, metric)
+                for query_id, column in zip(query_ids, scores.T):
+                    out += [(query_id, name, ids[rows[i]], column[i]) for i in _best(sign * column, ids[rows], top_k)]
+            columns = list(zip(*out)) or [[], [], [], []]
+            types = [pa.string(), pa.string(), pa.string(), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)], ["query_id", "namespace", "id", "score"]
+            )
+
+    stored = index.filter(F.size("values") == dim).filter(F.col("namespace").isin(list(asked)))
+    return stored.select(
+        "namespace", F.col("id").cast("string").alias("id"), as_doubles(F.col("values")).alias("values")
+    ).mapInArrow(run, "query_id string, namespace string, id string, score double")
+
+
+def _scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of every vector (rows) for every query (columns)."""
+    if metric == "euclidean":
+        return np.stack([np.sqrt(((vectors - q) ** 2).sum(axis=1)) for q in queries], axis=1)
+    dots = vectors @ queries.T
+    if metric == "dotproduct":
+        return dots
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return dots / (np.linalg.norm(vectors, axis=1)[:, None] * np.linalg.norm(queries, axis=1))
+
+
+def _best(cost: np.ndarray, ids: np.ndarray, top_k: int) -> np.ndarray:
+    """Positions of the `top_k` lowest costs, ties by id; NaN is no cost."""
+    known = np.flatnonzero(~np.isnan(cost))
+    if len(known) > top_k:
+        bound = np.partition(cost[known], top_k - 1)[top_k - 1]
+        known = known[cost[known] <= bound]
+    return known[np.lexsort((ids[known].astype(str), cost[known]))][:top_k]

@@ -8,18 +8,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gazette.functions.bodies import object_metadata
 from gazette.functions.dates import publish_epoch
 from gazette.functions.text import cleaned, key_of
 from gazette.operators.incremental import latest_per_key, newer_than_cursor
 from gazette.operators.registry import decoded_messages, max_per_feed
 from gazette.operators.vectors import embed, vector_records
-from gazette.schemas import ARTICLE_COLUMNS, STRATEGIES
-from gazette.sinks.articles import save_articles, save_rejects
+from gazette.operators.counts import outcomes
+from gazette.schemas import ARTICLE, ARTICLE_COLUMNS, STRATEGIES
+from gazette.sinks.articles import read_batch, save_articles
 from gazette.sinks.metrics import write_metrics
 from gazette.sinks.registry import read_registry, write_cursors
 from gazette.sinks.vectors import collection, upsert_vectors
-from gazette.functions.bodies import object_metadata
-from gazette.sources.feeds import feed_entries
+from gazette.sources.feeds import parsed_feeds
 from gazette.sources.pages import extract_articles
 
 
@@ -44,20 +45,33 @@ def moved_cursors(cursors: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def fresh_entries(cursors: DataFrame, docs: DataFrame, now_ts: int) -> DataFrame:
-    """`rss`, `link`, `unixTime` of entries newer than their feed's cursor.
+def read_entries(cursors: DataFrame, docs: DataFrame, now_ts: int) -> DataFrame:
+    """Entries newer than their feed's cursor, and unreadable documents.
 
-    The cursor meets the feed document, not each entry of it, and entries are
-    filtered before any page is looked at.
+    `rss`, `link`, `unixTime` of an entry; of a document that is not XML `rss`
+    and its text in `broken`. The cursor meets the feed document, not each entry
+    of it, and entries are filtered before any page is looked at.
     """
-    entries = feed_entries(docs.select("feed_url", "xml").join(cursors.select("feed_url", "dt"), "feed_url"))
+    asked = docs.select("feed_url", "xml").join(cursors.select("feed_url", "dt"), "feed_url")
+    # Dates are read inside the array: a filter on a column made after the
+    # explode would be moved below it and read each of them twice.
+    dated = F.transform("entries", lambda e: F.struct(
+        e["link"].alias("link"), publish_epoch(e["published"], now_ts).alias("unixTime")
+    ))
     return (
-        entries.withColumn("unixTime", publish_epoch(F.col("published"), now_ts))
-        .filter(newer_than_cursor())
-        .select(F.col("feed_url").alias("rss"), "link", "unixTime")
+        parsed_feeds(asked)
+        .select(F.col("feed_url").alias("rss"), "dt", "broken", F.explode_outer(dated).alias("e"))
+        .select("rss", "dt", "broken", "e.*")
+        .filter(F.col("broken").isNotNull() | newer_than_cursor())
+        .select("rss", "link", "unixTime", "broken")
     )
 
 
+def fresh_entries(cursors: DataFrame, docs: DataFrame, now_ts: int) -> DataFrame:
+    """Only the entries of `read_entries`."""
+    return read_entries(cursors, docs, now_ts).filter("unixTime IS NOT NULL").drop("broken")
+
+
 def assembled(entries: DataFrame, pages: DataFrame, clean: bool = False) -> DataFrame:
     """Articles of entries and fetched pages, an entry without a page included.
 
@@ -116,7 +130,10 @@ def check_strategy(strategy: str) -> list[str]:
 
 
 def save(articles: DataFrame, stores: Stores, strategy: str, now: dt.datetime, batch_id: int, model=None) -> None:
-    """Write articles to the sinks of the strategy (K5)."""
+    """Write articles to the sinks of the strategy (K5).
+
+    With more than one sink, or none that keeps the text, hand in a stored frame.
+    """
     for sink in check_strategy(strategy):
         if sink == "articles":
             save_articles(articles, stores.articles, now, batch_id)
@@ -128,6 +145,28 @@ def save(articles: DataFrame, stores: Stores, strategy: str, now: dt.datetime, b
             )
 
 
+def rejects(messages: DataFrame, read: DataFrame) -> DataFrame:
+    """What could not be used, as `kind`, `feed`, `body`: messages, documents, entries without a link."""
+    text = F.lit(None).cast("string")
+    broken = read.filter("broken IS NOT NULL")
+    unlinked = read.filter("broken IS NULL AND coalesce(link, '') = ''")
+    return (
+        messages.select(F.lit("message").alias("kind"), text.alias("feed"), F.col("value").alias("body"))
+        .unionByName(broken.select(F.lit("document").alias("kind"), F.col("rss").alias("feed"), F.col("broken").alias("body")))
+        .unionByName(unlinked.select(F.lit("entry").alias("kind"), F.col("rss").alias("feed"), text.alias("body")))
+    )
+
+
+def batch_outcomes(entries: DataFrame, articles: DataFrame, broken: DataFrame) -> DataFrame:
+    """Processed entries, failed pages and unreadable documents, for `feed_metrics`."""
+    none, one = F.lit(0).alias, F.lit(1).alias
+    return (
+        entries.select("rss", one("processed"), none("errors"))
+        .unionByName(outcomes(articles).withColumn("processed", F.lit(0)))
+        .unionByName(broken.select("rss", none("processed"), one("errors")))
+    )
+
+
 def ingest_batch(
     messages: DataFrame, docs: DataFrame, pages: DataFrame, stores: Stores, batch_id: int,
     now: dt.datetime, strategy: str = "s3", clean: bool = False, model=None,
@@ -136,27 +175,32 @@ def ingest_batch(
 
     Cursors are read as they were before this batch, so the batch done again
     after a crash finds the same entries and overwrites its own folders. An
-    error leaves the batch undone. Articles are made once, written, and read
-    back for the counts.
+    error leaves the batch undone. Articles are made once and written; whatever
+    else needs them reads them back.
     """
-    check_strategy(strategy)
+    sinks = check_strategy(strategy)
     started = time.monotonic()
     spark = messages.sparkSession
-    asked, bad = decoded_messages(messages)
+    asked, unreadable = decoded_messages(messages)
     cursors = feed_cursors(asked, read_registry(spark, stores.registry, before_batch=batch_id))
-    entries = fresh_entries(cursors, docs, int(now.timestamp())).persist()
+    read = read_entries(cursors, docs, int(now.timestamp())).persist()
     try:
-        keyed = entries.withColumn("article_id", key_of(F.col("link")))
-        last = latest_per_key(keyed, ["article_id"], last_written()).drop("article_id")
+        entries = read.filter("broken IS NULL")
+        keyed = entries.filter("link != ''").withColumn("article_id", key_of(F.col("link")))
+        last = latest_per_key(keyed, ["article_id"], last_written()).select("rss", "link", "unixTime")
         articles = assembled(last, pages, clean)
-        work = f"{stores.articles}_work/batch_id={batch_id}"
-        articles.write.mode("overwrite").parquet(work)
-        articles = spark.read.parquet(work)
-        save(articles, stores, strategy, now, batch_id, model)
-        save_rejects(articles, stores.rejects, batch_id)
-        bad.write.mode("overwrite").text(f"{stores.rejects}_messages/batch_id={batch_id}")
+        if sinks == ["articles"]:
+            save(articles, stores, strategy, now, batch_id)
+            articles = read_batch(spark, stores.articles, batch_id)
+        else:
+            made = f"{stores.articles}_made/batch_id={batch_id}"
+            articles.write.mode("overwrite").parquet(made)
+            articles = spark.read.schema(ARTICLE).parquet(made)
+            save(articles, stores, strategy, now, batch_id, model)
+        rejects(unreadable, read).write.mode("overwrite").parquet(f"{stores.rejects}/batch_id={batch_id}")
         moved = moved_cursors(cursors, entries).filter("stored IS NULL OR dt > stored")
         write_cursors(moved, stores.registry, batch_id)
-        write_metrics(entries, articles, time.monotonic() - started, stores.metrics, now, batch_id)
+        results = batch_outcomes(entries, articles, read.filter("broken IS NOT NULL"))
+        write_metrics(results, time.monotonic() - started, stores.metrics, now, batch_id)
     finally:
-        entries.unpersist()
+        read.unpersist()

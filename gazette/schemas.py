@@ -13,6 +13,11 @@ ARTICLE_COLUMNS = [
     "link", "rss", "title", "content", "unixTime",
     "rss_id", "article_id", "llm_summary", "embedding",
 ]
+# An article as stored: object metadata and path, ingest time, and the folder columns.
+STORED = (
+    f"{ARTICLE}, metadata map<string,string>, path string, ingest_ts timestamp, "
+    "year int, month int, day int, batch_id bigint"
+)
 # An article as one line of an exported CSV: arrays travel as JSON text.
 ARTICLE_CSV = ARTICLE.replace("array<float>", "string")
 VECTOR = "namespace string, id string, values array<float>, metadata map<string,string>"

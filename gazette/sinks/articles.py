@@ -10,6 +10,7 @@ from gazette.functions.bodies import object_metadata
 from gazette.functions.dates import object_path
 from gazette.operators.filters import in_day_partitions, in_range, split_keyed
 from gazette.operators.incremental import latest_per_key
+from gazette.schemas import STORED
 
 
 def storage_rows(articles: DataFrame, ingest_ts: dt.datetime) -> DataFrame:
@@ -44,10 +45,9 @@ def save_articles(
     )
 
 
-def save_rejects(articles: DataFrame, path: str, batch_id: int = 0) -> None:
-    """Articles without an id, kept aside."""
-    _, rejects = split_keyed(articles)
-    rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """What one batch stored; no other folder is read."""
+    return spark.read.schema(STORED).parquet(path).filter(F.col("batch_id") == batch_id)
 
 
 def read_articles(
@@ -61,7 +61,7 @@ def read_articles(
 
     Only folders the range can touch are read.
     """
-    rows = in_day_partitions(spark.read.parquet(path), start_date, end_date)
+    rows = in_day_partitions(spark.read.schema(STORED).parquet(path), start_date, end_date)
     rows = in_range(rows, "ingest_ts", start_date, end_date, whole_end_day)
     return latest_per_key(
         rows, ["year", "month", "day", "article_id"], [F.desc("ingest_ts"), F.desc("batch_id")]

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gazette.operators.counts import errors_per_feed, feed_metrics, processed_per_feed
+from gazette.operators.counts import feed_metrics
 from gazette.schemas import METRIC_NAMESPACE, PROCESSING_TIME, UNIT_SECONDS
 
 _METRIC = (
@@ -22,13 +22,11 @@ def processing_time(spark: SparkSession, seconds: float, ts: dt.datetime) -> Dat
 
 
 def write_metrics(
-    entries: DataFrame, articles: DataFrame, seconds: float, path: str, ts: dt.datetime, batch_id: int = 0
+    outcomes: DataFrame, seconds: float, path: str, ts: dt.datetime, batch_id: int = 0
 ) -> None:
     """Counts per feed and the run's wall time (K14); one folder per batch."""
-    counts = feed_metrics(
-        processed_per_feed(entries), errors_per_feed(articles), F.lit(ts).cast("timestamp")
-    )
-    rows = counts.unionByName(processing_time(articles.sparkSession, seconds, ts))
+    counts = feed_metrics(outcomes, F.lit(ts).cast("timestamp"))
+    rows = counts.unionByName(processing_time(outcomes.sparkSession, seconds, ts))
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 

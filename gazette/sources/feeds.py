@@ -48,7 +48,9 @@ def parsed_feeds(docs: DataFrame) -> DataFrame:
         F.coalesce(F.transform("doc.entry", _atom_entry), none),
     )
     broken = F.when(F.col("doc").isNull() | F.col("doc._broken").isNotNull(), F.coalesce("xml", F.lit("")))
-    return parsed.select(*kept, entries.alias("entries"), broken.alias("broken"))
+    return parsed.select(
+        *kept, F.when(broken.isNull(), entries).otherwise(none).alias("entries"), broken.alias("broken")
+    )
 
 
 def feed_entries(docs: DataFrame) -> DataFrame:

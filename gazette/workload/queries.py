@@ -346,7 +346,8 @@ def _streamed(spark, sf_dir, strategy="s3") -> ingest.Stores:
     stores = ingest.Stores(
         f"{root}/registry", f"{root}/articles", f"{root}/rejects", f"{root}/metrics", f"{root}/vectors"
     )
-    vector_store.create_collection(spark, stores.vectors, 64, "cosine")
+    if strategy != "s3":
+        vector_store.create_collection(spark, stores.vectors, 64, "cosine")
     registry_store.write_cursors(t.page_registry(spark, sf_dir), stores.registry, registry_store.SEED)
     asked = t.page_feeds(spark, sf_dir).select(F.col("u").alias("url"), "dt")
     inbox = f"{root}/inbox"
@@ -412,9 +413,7 @@ def objects_per_day(spark, sf_dir):
 def ingest_metrics(spark, sf_dir):
     """Metric rows per feed."""
     a = t.document_articles(spark, sf_dir).withColumn("content", na_to_null(F.col("content")))
-    rows = counts.feed_metrics(
-        counts.processed_per_feed(a), counts.errors_per_feed(a), F.timestamp_seconds(F.lit(t.NOW))
-    )
+    rows = counts.feed_metrics(counts.outcomes(a), F.timestamp_seconds(F.lit(t.NOW)))
     return rows.select("namespace", "metric_name", "value", "unit", F.unix_seconds("ts").alias("time"), "feed")
 
 
