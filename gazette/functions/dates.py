@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -13,6 +14,8 @@ _UTC_NAME = r"\s*(?<=[\s\d])(?:GMT|UTC|UT|Z)$"
 _OTHER_ZONE = r"\s+(?!AM$|PM$)[A-Z]{3,5}$"
 _COLON_OFFSET = r"([+-]\d{2}):(\d{2})$"
 
+_USUAL = r"^(?:[A-Z][a-z]{2}, )?\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}$"
+
 # Each pattern is tried only on text of its own shape.
 _SHAPES = [
     (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$", "d MMM yyyy H:mm:ss Z"),
@@ -34,18 +37,35 @@ def publish_epoch(published: Column, now_ts: Column | int) -> Column:
 
     Dates without a zone are UTC, so the session zone must be UTC.
     """
-    raw = F.trim(published)
+    now = now_ts if isinstance(now_ts, Column) else F.lit(now_ts)
+    return F.coalesce(F.unix_seconds(_bound(F.trim(published), _instant)), now.cast("long"))
+
+
+def _instant(raw: Column) -> Column:
+    # The two common forms need no rewriting.
+    usual = F.when(raw.rlike(_USUAL), _try(F.substring_index(raw, ", ", -1), _SHAPES[0][1]))
+    iso = F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(raw))
+    return F.coalesce(usual, iso, _bound(_rewritten(raw), _shaped))
+
+
+def _rewritten(raw: Column) -> Column:
     text = F.regexp_replace(raw, _WEEKDAY, "")
     text = F.regexp_replace(text, _UTC_NAME, " +0000")
     text = F.regexp_replace(text, _OTHER_ZONE, "")
-    text = F.regexp_replace(text, _COLON_OFFSET, "$1$2")
-    iso = F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(raw))
-    tries = [
-        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)))
-        for shape, pattern in _SHAPES
-    ]
-    now = now_ts if isinstance(now_ts, Column) else F.lit(now_ts)
-    return F.coalesce(F.unix_seconds(F.coalesce(iso, *tries)), now.cast("long"))
+    return F.regexp_replace(text, _COLON_OFFSET, "$1$2")
+
+
+def _shaped(text: Column) -> Column:
+    return F.coalesce(*[F.when(text.rlike(shape), _try(text, pattern)) for shape, pattern in _SHAPES])
+
+
+def _try(text: Column, pattern: str) -> Column:
+    return F.try_to_timestamp(text, F.lit(pattern))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def utc_midnight(day: str | None) -> dt.datetime | None:

@@ -7,16 +7,18 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
+# Alternatives share their first character, so most positions fail at once.
 _DROPPED_BLOCKS = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r'|<nav\b.*?</nav\s*>|<div class="ad">.*?</div\s*>'
+    r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
+    r'|nav\b.*?</nav\s*>|div class="ad">.*?</div\s*>)'
 )
 _TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 _HEADING = r"(?is)<h1[^>]*>(.*?)</h1\s*>"
 _ARTICLE = r"(?is)<article[^>]*>(.*?)</article\s*>"
 _BODY = r"(?is)<body[^>]*>(.*?)</body\s*>"
-_TAG = r"(?s)<[^>]*>"
+_TAG = r"<[^>]*>"
 _AMPERSAND = r"&(?:amp|#0*38|#[xX]0*26);"
+_SPACES = r"(?U)\s+"
 
 
 def _named_references() -> Column:
@@ -57,14 +59,9 @@ def unescaped(text: Column) -> Column:
     return F.when(text.contains("&"), out).otherwise(text)
 
 
-def _plain(markup: Column) -> Column:
-    """Tags become spaces, references characters, white space runs one space."""
-    text = unescaped(F.regexp_replace(markup, _TAG, " "))
-    return F.nullif(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(""))
-
-
-def _first(html: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+def first_part(content: Column, pattern: str) -> Column:
+    """The pattern's group where it first matches, else null."""
+    return F.nullif(F.regexp_extract(content, pattern, 1), F.lit(""))
 
 
 def without_blocks(html: Column) -> Column:
@@ -72,12 +69,21 @@ def without_blocks(html: Column) -> Column:
     return F.regexp_replace(html, _DROPPED_BLOCKS, " ")
 
 
-def page_title(content: Column) -> Column:
-    """`<title>`, else the first `<h1>`; null where there is neither."""
-    title = _first(content, _TITLE)
-    return _plain(F.coalesce(F.when(title.rlike(r"\S"), title), _first(content, _HEADING)))
+def title_markup(content: Column) -> Column:
+    """Inside of `<title>`, else of the first `<h1>`; null where there is neither."""
+    title = F.regexp_extract(content, _TITLE, 1)
+    return F.coalesce(F.when(title.rlike(r"\S"), title), first_part(content, _HEADING))
+
+
+def text_markup(content: Column) -> Column:
+    """Inside of `<article>`, else of `<body>`; null where there is neither."""
+    return F.coalesce(first_part(content, _ARTICLE), first_part(content, _BODY))
+
+
+def without_tags(markup: Column) -> Column:
+    return F.regexp_replace(markup, _TAG, " ")
 
 
-def page_text(content: Column) -> Column:
-    """Text of `<article>`, else of `<body>`; null where there is neither."""
-    return _plain(F.coalesce(_first(content, _ARTICLE), _first(content, _BODY)))
+def squeezed(text: Column) -> Column:
+    """Every run of white space one space, none at the ends; null where nothing is left."""
+    return F.nullif(F.trim(F.regexp_replace(text, _SPACES, " ")), F.lit(""))

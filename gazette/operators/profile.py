@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from gazette.functions.text import key_of
 
@@ -53,7 +53,7 @@ def describe(df: DataFrame) -> DataFrame:
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     rows = _describe_numbers(df, numeric) if numeric else {}
-    rows |= {c: _describe_text(df, c) for c in texts}
+    rows |= _describe_texts(df, texts) if texts else {}
     others = [c for c in df.columns if c not in rows]
     if others:
         counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in others]).first()
@@ -69,25 +69,58 @@ def _summary(spark: SparkSession, rows: list[dict]) -> DataFrame:
 # --- text columns ---------------------------------------------------------
 
 
-def _describe_text(df: DataFrame, column: str) -> dict:
-    """Texts are counted by their hash, so a long text is not shuffled."""
-    text = F.col(f"`{column}`")
-    values = df.select(text.alias("text")).filter("text IS NOT NULL")
-    keyed = values.withColumn("key", F.unhex(key_of(F.col("text"), 64)))
-    per_key = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    total = per_key.agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq")).first()
-    if not total["unique"]:
-        return {"count": 0, "unique": 0}
-    if total["freq"] == 1:
-        top = values
-    else:
-        most = per_key.filter(F.col("n") == total["freq"]).select("key")
-        few = [r["key"] for r in most.limit(_MAX_TOP_KEYS + 1).collect()]
-        if len(few) <= _MAX_TOP_KEYS:
-            top = keyed.filter(F.col("key").isin(few))
-        else:
-            top = keyed.join(most, "key", "left_semi")
-    return {**total.asDict(), "top": top.agg(F.min("text")).first()[0]}
+def _describe_texts(df: DataFrame, columns: list[str]) -> dict[str, dict]:
+    """Texts of all columns are counted in one pass, by their hash: no text is shuffled."""
+    cells = [
+        F.struct(F.lit(i).alias("column"), F.unhex(key_of(F.col(f"`{c}`"), 64)).alias("key"))
+        for i, c in enumerate(columns)
+    ]
+    per_key = (
+        df.select(F.inline(F.array(*cells)))
+        .filter("key IS NOT NULL")
+        .groupBy("column", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    totals = per_key.groupBy("column").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq")
+    )
+    out = {c: {"count": 0, "unique": 0} for c in columns}
+    out |= {columns[r["column"]]: {k: r[k] for k in ("count", "unique", "freq")} for r in totals.collect()}
+    return _with_top(df, per_key, columns, out)
+
+
+def _with_top(df: DataFrame, per_key: DataFrame, columns: list[str], out: dict[str, dict]) -> dict:
+    """The smallest of the most frequent texts of each column.
+
+    Where no text repeats that is the smallest of all. Else the most frequent
+    keys are looked up: a few by a list, many by a join.
+    """
+    repeated = [i for i, c in enumerate(columns) if out[c].get("freq", 1) > 1]
+    candidates = {c: df.select(F.col(f"`{c}`").alias("text")) for i, c in enumerate(columns) if i not in repeated}
+    if repeated:
+        most = per_key.filter(reduce(or_, [
+            (F.col("column") == i) & (F.col("n") == out[columns[i]]["freq"]) for i in repeated
+        ]))
+        first_keys = most.groupBy("column").agg(F.count(F.lit(1)).alias("ties"))
+        ties = {r["column"]: r["ties"] for r in first_keys.collect()}
+        few = [i for i in repeated if ties[i] <= _MAX_TOP_KEYS]
+        listed = most.filter(F.col("column").isin(few)).select("column", "key").collect() if few else []
+        for i in repeated:
+            text = F.col(f"`{columns[i]}`").alias("text")
+            keyed = df.select(text, F.unhex(key_of(text, 64)).alias("key"))
+            if i in few:
+                keys = [bytes(r["key"]) for r in listed if r["column"] == i]
+                candidates[columns[i]] = keyed.filter(F.col("key").isin(keys)).select("text")
+            else:
+                wanted = most.filter(F.col("column") == i).select("key")
+                candidates[columns[i]] = keyed.join(wanted, "key", "left_semi").select("text")
+    tops = [
+        texts.agg(F.min("text").alias("top")).select(F.lit(c).alias("name"), "top")
+        for c, texts in candidates.items()
+    ]
+    for r in reduce(DataFrame.unionByName, tops).collect():
+        out[r["name"]]["top"] = r["top"]
+    return out
 
 
 # --- numeric columns ------------------------------------------------------
@@ -105,21 +138,16 @@ def _describe_numbers(df: DataFrame, columns: list[str]) -> dict[str, dict]:
         ).alias(c)
         for c in (f"`{c}`" for c in columns)
     ]).first()
-    out, wanted = {}, []
+    out, targets = {}, {}
     for column, stats in zip(columns, first):
         out[column] = {k: stats[k] for k in ("count", "mean", "std", "min", "max")}
         for i, q in enumerate(QUARTILES if stats["count"] else ()):
-            position = (stats["count"] - 1) * q
-            low = int(position)
-            for rank in {low, min(low + 1, stats["count"] - 1)}:
-                wanted.append((column, rank, stats["near"][2 * i], stats["near"][2 * i + 1]))
-    chosen = _values_at(values, wanted, out)
-    for column in columns:
-        n = out[column]["count"]
-        for q, name in zip(QUARTILES if n else (), ("p25", "p50", "p75")):
-            low = int((n - 1) * q)
-            a, b = chosen[column, low], chosen[column, min(low + 1, n - 1)]
-            out[column][name] = a + (b - a) * ((n - 1) * q - low)
+            low = int((stats["count"] - 1) * q)
+            ranks = [low, min(low + 1, stats["count"] - 1)]
+            targets[column, i] = (ranks, stats["near"][2 * i], stats["near"][2 * i + 1])
+    for (column, i), (a, b) in _values_at(values, targets, out).items():
+        position = (out[column]["count"] - 1) * QUARTILES[i]
+        out[column][("p25", "p50", "p75")[i]] = a + (b - a) * (position - int(position))
     return out
 
 
@@ -130,49 +158,55 @@ def _number(value: Column) -> Column:
 
 
 def _values_at(
-    values: DataFrame, wanted: list[tuple[str, int, float, float]], stats: dict[str, dict]
-) -> dict[tuple[str, int], float]:
-    """The value at each (column, rank from 0) in sorted order, exactly.
-
-    Every target comes with a guess `low..high` of where it lies. One pass counts
-    what is below, at and between the two ends. A target that falls on an end is
-    found; one between them is narrowed again with fresh estimates, until few
-    values are left between. Repeated values gather on an end, so they cannot
-    keep a bracket wide. All passes are plain aggregates with one row of result.
+    values: DataFrame, targets: dict[tuple, tuple[list[int], float, float]], stats: dict[str, dict]
+) -> dict[tuple, list[float]]:
+    """The values at given ranks (from 0) in sorted order, exactly.
+
+    A target is a column, ranks that lie side by side and a guess `low..high` of
+    where they are. One pass counts what is below, at and between the two ends.
+    A rank on an end is found; ranks between them are narrowed again with fresh
+    estimates, until few values are left between. Repeated values gather on an
+    end, so they cannot keep a bracket wide. All passes are plain aggregates with
+    one row of result.
     """
-    found: dict[tuple[str, int], float] = {}
-    open_targets = {(c, r): (lo, hi) for c, r, lo, hi in wanted}
-    small: list[tuple[str, int, int, float, float]] = []
-    while open_targets:
-        targets = list(open_targets.items())
+    found: dict[tuple, dict[int, float]] = {t: {} for t in targets}
+    open_ = dict(targets)
+    small: list[tuple] = []
+    while open_:
         row = values.agg(*[
-            _bracket_counts(F.col(f"`{c}`"), lo, hi).alias(str(i))
-            for i, ((c, _), (lo, hi)) in enumerate(targets)
+            _bracket_counts(F.col(f"`{target[0]}`"), low, high).alias(str(i))
+            for i, (target, (_, low, high)) in enumerate(open_.items())
         ]).first()
-        open_targets = {}
-        for (target, (lo, hi)), counts in zip(targets, row):
-            column, rank = target
-            below, at_low, between, at_high = (counts[k] for k in ("below", "at_low", "between", "at_high"))
-            at = rank - below
-            if at < 0:
-                open_targets[target] = (stats[column]["min"], lo)
-            elif at < at_low:
-                found[target] = lo
-            elif at < at_low + between:
-                inside = at - at_low
-                if between <= MAX_CANDIDATES:
-                    small.append((column, rank, inside, lo, hi))
+        again = {}
+        for (target, (ranks, low, high)), counts in zip(open_.items(), row):
+            inside = {}
+            start = counts["below"] + counts["at_low"]
+            end = start + counts["between"]
+            for rank in ranks:
+                if counts["below"] <= rank < start:
+                    found[target][rank] = low
+                elif end <= rank < end + counts["at_high"]:
+                    found[target][rank] = high
+                elif start <= rank < end:
+                    inside[rank] = rank - start
+                elif rank < counts["below"]:
+                    again[*target, rank] = ([rank], stats[target[0]]["min"], low)
                 else:
-                    share = inside / between
-                    near = [min(max(share + side * _MARGIN, 0.0), 1.0) for side in (-1, 1)]
-                    open_targets[target] = _inner_bracket(values, column, lo, hi, near)
-            elif at < at_low + between + at_high:
-                found[target] = hi
-            else:
-                open_targets[target] = (hi, stats[column]["max"])
-    if small:
-        found |= _pick(values, small)
-    return found
+                    again[*target, rank] = ([rank], high, stats[target[0]]["max"])
+            if inside and counts["between"] <= MAX_CANDIDATES:
+                small += [(target, rank, at, low, high) for rank, at in inside.items()]
+            elif inside:
+                shares = [at / counts["between"] for at in inside.values()]
+                again[target] = (list(inside), *_inner_bracket(values, target[0], low, high, shares))
+        for target in again:
+            found.setdefault(target, {})
+        open_ = again
+    for target, rank, value in _pick(values, small) if small else ():
+        found[target][rank] = value
+    merged: dict[tuple, dict[int, float]] = {t: {} for t in targets}
+    for target, hits in found.items():
+        merged[target[:2]] |= hits
+    return {t: [merged[t][rank] for rank in ranks] for t, (ranks, _, _) in targets.items()}
 
 
 def _bracket_counts(value: Column, low: float, high: float) -> Column:
@@ -184,41 +218,38 @@ def _bracket_counts(value: Column, low: float, high: float) -> Column:
     )
 
 
-def _inner_bracket(values: DataFrame, column: str, low: float, high: float, near: list[float]) -> tuple:
+def _inner_bracket(
+    values: DataFrame, column: str, low: float, high: float, shares: list[float]
+) -> tuple[float, float]:
+    """A narrower bracket around the given shares of the values between two ends."""
     name = f"`{column}`"
     inside = values.filter((F.col(name) > low) & (F.col(name) < high))
+    near = [max(min(shares) - _MARGIN, 0.0), min(max(shares) + _MARGIN, 1.0)]
     return tuple(inside.agg(F.percentile_approx(name, near, _ACCURACY)).first()[0])
 
 
-def _pick(
-    values: DataFrame, small: list[tuple[str, int, int, float, float]]
-) -> dict[tuple[str, int], float]:
-    """Look the remaining targets up among at most `MAX_CANDIDATES` values each."""
-    inside = [(F.col(f"`{c}`") > lo) & (F.col(f"`{c}`") < hi) for c, _, _, lo, hi in small]
+def _pick(values: DataFrame, small: list[tuple]) -> list[tuple[tuple, int, float]]:
+    """Look ranks up among at most `MAX_CANDIDATES` values each, all in one pass.
+
+    Candidates are counted by value, sorted, and walked to the one holding the rank.
+    """
+    columns = [F.col(f"`{target[0]}`") for target, *_ in small]
+    inside = [(c > low) & (c < high) for c, (_, _, _, low, high) in zip(columns, small)]
     asked = F.array(*[
-        F.struct(
-            F.lit(i).alias("target"), F.lit(at).cast("long").alias("at"),
-            F.when(inside[i], F.col(f"`{c}`")).alias("value"),
-        )
-        for i, (c, _, at, _, _) in enumerate(small)
+        F.struct(F.lit(i).alias("asked"), F.when(inside[i], c).alias("value")) for i, c in enumerate(columns)
     ])
     counted = (
         values.filter(reduce(or_, inside))
         .select(F.inline(asked))
         .filter("value IS NOT NULL")
-        .groupBy("target", "at", "value")
+        .groupBy("asked", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Sorted candidates of one target, walked to the one holding the rank.
-    rows = counted.groupBy("target", "at").agg(F.array_sort(F.collect_list(F.struct("value", "n"))).alias("c"))
-    walk = F.aggregate(
-        "c", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("hit")),
-        lambda acc, x: F.struct(
-            (acc["seen"] + x["n"]).alias("seen"),
-            F.when((acc["seen"] <= F.col("at")) & (F.col("at") < acc["seen"] + x["n"]), x["value"])
-            .otherwise(acc["hit"]).alias("hit"),
-        ),
-        lambda acc: acc["hit"],
+    before = Window.partitionBy("asked").orderBy("value")
+    at = F.element_at(F.array(*[F.lit(at).cast("long") for _, _, at, _, _ in small]), F.col("asked") + 1)
+    hits = (
+        counted.withColumn("seen", F.sum("n").over(before))
+        .filter((F.col("seen") > at) & (F.col("seen") - F.col("n") <= at))
+        .select("asked", "value")
     )
-    hits = {r["target"]: r["hit"] for r in rows.select("target", walk.alias("hit")).collect()}
-    return {(c, rank): hits[i] for i, (c, rank, *_) in enumerate(small)}
+    return [(small[r["asked"]][0], small[r["asked"]][1], r["value"]) for r in hits.collect()]

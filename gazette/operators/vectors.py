@@ -20,8 +20,8 @@ MAX_SMALL_QUERIES = 1000
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words of a text."""
-    return F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != "")
+    """Lower-case words of a text, split at white space and ASCII punctuation."""
+    return F.array_remove(F.split(F.lower(text), r"[\s\p{Punct}]+"), "")
 
 
 def embed(

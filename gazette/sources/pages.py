@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gazette.functions.html import page_text, page_title, without_blocks
+from gazette.functions.html import (
+    squeezed, text_markup, title_markup, unescaped, without_blocks, without_tags,
+)
 from gazette.sources.files import require_columns
 
 
 def extract_articles(pages: DataFrame) -> DataFrame:
     """`url`, `title`, `content` of each page; a page without either keeps its row.
 
-    Columns other than `html` are kept.
+    Columns other than `html` are kept. Each step is a projection of its own, so
+    that its result is computed once although the next step uses it repeatedly.
     """
     require_columns(pages, ["url", "html"], "pages")
     kept = [c for c in pages.columns if c != "html"]
+    title, content = F.col("title"), F.col("content")
     return (
         pages.withColumn("html", without_blocks(F.col("html")))
-        .select(*kept, page_title(F.col("html")).alias("title"), page_text(F.col("html")).alias("content"))
+        .select(*kept, title_markup(F.col("html")).alias("title"), text_markup(F.col("html")).alias("content"))
+        .select(*kept, without_tags(title).alias("title"), without_tags(content).alias("content"))
+        .select(*kept, unescaped(title).alias("title"), unescaped(content).alias("content"))
+        .select(*kept, squeezed(title).alias("title"), squeezed(content).alias("content"))
     )

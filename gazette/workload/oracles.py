@@ -293,6 +293,6 @@ FROM (SELECT * FROM n UNION ALL BY NAME SELECT * FROM x)""",
 SELECT 'all' AS namespace, vec_id::VARCHAR AS id,
        round(CASE WHEN label >= 5 THEN -embedding[1] ELSE embedding[1] END::DOUBLE, 4) AS first_value FROM embeddings""",
     "embedded_documents": r"""
-SELECT doc_id, 64 AS dim, CASE WHEN regexp_matches(text, '[0-9A-Za-z_]') THEN 1.0 ELSE 0.0 END::DOUBLE AS length
+SELECT doc_id, 64 AS dim, CASE WHEN regexp_matches(text, '[^[:punct:]\s]') THEN 1.0 ELSE 0.0 END::DOUBLE AS length
 FROM documents""",
 }

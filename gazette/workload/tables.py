@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from gazette.functions.html import page_title, without_blocks
 from gazette.functions.text import key_of
 from gazette.schemas import ARTICLE_COLUMNS
+from gazette.sources.pages import extract_articles
 
 # Publish time of the page or document numbered 0, and seconds between two of them.
 EPOCH = 1704067200
@@ -105,8 +105,8 @@ def atom_documents(entries: DataFrame, title: Column) -> DataFrame:
 
 def titled_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page entries with the page's own title."""
-    entries = page_entries(spark, sf_dir)
-    return entries.withColumn("title", page_title(without_blocks(F.col("html")))).drop("html")
+    entries = page_entries(spark, sf_dir).withColumn("url", F.col("link"))
+    return extract_articles(entries).drop("url", "content")
 
 
 def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
