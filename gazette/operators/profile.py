@@ -166,19 +166,23 @@ def _values_at(
     where they are. One pass counts what is below, at and between the two ends.
     A rank on an end is found; ranks between them are narrowed again with fresh
     estimates, until few values are left between. Repeated values gather on an
-    end, so they cannot keep a bracket wide. All passes are plain aggregates with
-    one row of result.
+    end, so they cannot keep a bracket wide. `floor..ceiling` is what is certain;
+    it shrinks with every pass, also when an estimate was off. All passes are plain
+    aggregates with one row of result.
     """
     found: dict[tuple, dict[int, float]] = {t: {} for t in targets}
-    open_ = dict(targets)
+    open_ = {
+        t: (ranks, low, high, stats[t[0]]["min"], stats[t[0]]["max"])
+        for t, (ranks, low, high) in targets.items()
+    }
     small: list[tuple] = []
     while open_:
         row = values.agg(*[
             _bracket_counts(F.col(f"`{target[0]}`"), low, high).alias(str(i))
-            for i, (target, (_, low, high)) in enumerate(open_.items())
+            for i, (target, (_, low, high, _, _)) in enumerate(open_.items())
         ]).first()
         again = {}
-        for (target, (ranks, low, high)), counts in zip(open_.items(), row):
+        for (target, (ranks, low, high, floor, ceiling)), counts in zip(open_.items(), row):
             inside = {}
             start = counts["below"] + counts["at_low"]
             end = start + counts["between"]
@@ -190,14 +194,15 @@ def _values_at(
                 elif start <= rank < end:
                     inside[rank] = rank - start
                 elif rank < counts["below"]:
-                    again[*target, rank] = ([rank], stats[target[0]]["min"], low)
+                    again[*target, rank] = ([rank], floor, low, floor, low)
                 else:
-                    again[*target, rank] = ([rank], high, stats[target[0]]["max"])
+                    again[*target, rank] = ([rank], high, ceiling, high, ceiling)
             if inside and counts["between"] <= MAX_CANDIDATES:
                 small += [(target, rank, at, low, high) for rank, at in inside.items()]
             elif inside:
                 shares = [at / counts["between"] for at in inside.values()]
-                again[target] = (list(inside), *_inner_bracket(values, target[0], low, high, shares))
+                bracket = _inner_bracket(values, target[0], low, high, shares)
+                again[target] = (list(inside), *bracket, low, high)
         for target in again:
             found.setdefault(target, {})
         open_ = again

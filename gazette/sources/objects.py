@@ -42,7 +42,7 @@ def read_objects(
     `LastModified` come along. Files outside the range are left out before any
     is opened.
     """
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("Key"),
         F.col("_metadata.file_modification_time").alias("LastModified"),
         F.col("value").alias("_corrupt_record"),
