@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -164,8 +165,36 @@ def _block_best(index: DataFrame, queries: list, top_k: int, metric: str) -> Dat
         mine = [q for q in queries if q["namespace"] == name]
         asked[name] = ([q["query_id"] for q in mine], np.array([q["vector"] for q in mine], dtype=float))
     sent = index.sparkSession.sparkContext.broadcast(asked)
+    stored = index.filter(F.size("values") == dim).filter(F.col("namespace").isin(list(asked)))
+    return stored.select(
+        "namespace", F.col("id").cast("string").alias("id"), as_doubles(F.col("values")).alias("values")
+    ).mapInArrow(
+        _block_scorer(sent, dim, top_k, metric), "query_id string, namespace string, id string, score double"
+    )
+
+
+def _block_scorer(sent: Broadcast, dim: int, top_k: int, metric: str) -> Callable:
+    """The task function; it holds all it calls, so tasks need not import this package."""
     sign = -1.0 if METRICS[metric] else 1.0
 
+    def scored(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """Scores of every vector (rows) for every query (columns)."""
+        if metric == "euclidean":
+            return np.stack([np.sqrt(((vectors - q) ** 2).sum(axis=1)) for q in queries], axis=1)
+        dots = vectors @ queries.T
+        if metric == "dotproduct":
+            return dots
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return dots / (np.linalg.norm(vectors, axis=1)[:, None] * np.linalg.norm(queries, axis=1))
+
+    def best(cost: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Positions of the `top_k` lowest costs, ties by id; NaN is no cost."""
+        known = np.flatnonzero(~np.isnan(cost))
+        if len(known) > top_k:
+            bound = np.partition(cost[known], top_k - 1)[top_k - 1]
+            known = known[cost[known] <= bound]
+        return known[np.lexsort((ids[known].astype(str), cost[known]))][:top_k]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("namespace").to_numpy(zero_copy_only=False)
@@ -174,36 +203,14 @@ def _block_best(index: DataFrame, queries: list, top_k: int, metric: str) -> Dat
             out: list[tuple[str, str, str, float]] = []
             for name, (query_ids, matrix) in sent.value.items():
                 rows = np.flatnonzero(names == name)
-                scores = _scores(vectors[rows], matrix, metric)
+                scores = scored(vectors[rows], matrix)
                 for query_id, column in zip(query_ids, scores.T):
-                    out += [(query_id, name, ids[rows[i]], column[i]) for i in _best(sign * column, ids[rows], top_k)]
+                    hits = best(sign * column, ids[rows])
+                    out += [(query_id, name, ids[rows[i]], column[i]) for i in hits]
             columns = list(zip(*out)) or [[], [], [], []]
             types = [pa.string(), pa.string(), pa.string(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)], ["query_id", "namespace", "id", "score"]
             )
 
-    stored = index.filter(F.size("values") == dim).filter(F.col("namespace").isin(list(asked)))
-    return stored.select(
-        "namespace", F.col("id").cast("string").alias("id"), as_doubles(F.col("values")).alias("values")
-    ).mapInArrow(run, "query_id string, namespace string, id string, score double")
-
-
-def _scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
-    """Scores of every vector (rows) for every query (columns)."""
-    if metric == "euclidean":
-        return np.stack([np.sqrt(((vectors - q) ** 2).sum(axis=1)) for q in queries], axis=1)
-    dots = vectors @ queries.T
-    if metric == "dotproduct":
-        return dots
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return dots / (np.linalg.norm(vectors, axis=1)[:, None] * np.linalg.norm(queries, axis=1))
-
-
-def _best(cost: np.ndarray, ids: np.ndarray, top_k: int) -> np.ndarray:
-    """Positions of the `top_k` lowest costs, ties by id; NaN is no cost."""
-    known = np.flatnonzero(~np.isnan(cost))
-    if len(known) > top_k:
-        bound = np.partition(cost[known], top_k - 1)[top_k - 1]
-        known = known[cost[known] <= bound]
-    return known[np.lexsort((ids[known].astype(str), cost[known]))][:top_k]
+    return run
