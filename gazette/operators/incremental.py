@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gazette.operators.joins import lookup
+
 
 def new_entries(entries: DataFrame, registry: DataFrame) -> DataFrame:
     """Entries published after the stored cursor of their feed.
 
     The comparison is strict and with the stored cursor, so entries of one fetch
     pass in any order, and one that carries the cursor's own second does not.
-    No hint: the registry is broadcast when its measured size allows it, else
-    the join is sorted and a crowded feed is split at run time.
     """
     cursors = registry.select(F.col("url").alias("rss"), "dt")
-    return entries.join(cursors, "rss").filter(newer_than_cursor()).drop("dt")
+    return lookup(entries, cursors, "rss").filter(newer_than_cursor()).drop("dt")
 
 
 def newer_than_cursor() -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gazette.functions.bodies import decoded, message_body
 from gazette.functions.dates import whole_seconds
+from gazette.operators.joins import lookup
 
 
 def new_feeds(feed_list: DataFrame, registry: DataFrame) -> DataFrame:
@@ -16,7 +17,7 @@ def new_feeds(feed_list: DataFrame, registry: DataFrame) -> DataFrame:
 
 def known_feeds(feed_list: DataFrame, registry: DataFrame) -> DataFrame:
     """Listed feeds the registry already has."""
-    return feed_list.join(registry.select(F.col("url").alias("u")), "u", "left_semi")
+    return lookup(feed_list, registry.select(F.col("url").alias("u")), "u", "left_semi")
 
 
 def seed_counts(feed_list: DataFrame, registry: DataFrame) -> DataFrame:

@@ -12,10 +12,12 @@ from gazette.functions.bodies import object_metadata
 from gazette.functions.dates import publish_epoch
 from gazette.functions.text import cleaned, key_of
 from gazette.operators.incremental import latest_per_key, newer_than_cursor
+from gazette.operators.joins import lookup, split_join
 from gazette.operators.registry import decoded_messages, max_per_feed
 from gazette.operators.vectors import embed, vector_records
 from gazette.operators.counts import outcomes
 from gazette.schemas import ARTICLE, ARTICLE_COLUMNS, STRATEGIES
+from gazette.session import stored
 from gazette.sinks.articles import read_batch, save_articles
 from gazette.sinks.metrics import write_metrics
 from gazette.sinks.registry import read_registry, write_cursors
@@ -52,7 +54,7 @@ def read_entries(cursors: DataFrame, docs: DataFrame, now_ts: int) -> DataFrame:
     and its text in `broken`. The cursor meets the feed document, not each entry
     of it, and entries are filtered before any page is looked at.
     """
-    asked = docs.select("feed_url", "xml").join(cursors.select("feed_url", "dt"), "feed_url")
+    asked = lookup(docs.select("feed_url", "xml"), cursors.select("feed_url", "dt"), "feed_url")
     # Dates are read inside the array: a filter on a column made after the
     # explode would be moved below it and read each of them twice.
     dated = F.transform("entries", lambda e: F.struct(
@@ -72,19 +74,22 @@ def fresh_entries(cursors: DataFrame, docs: DataFrame, now_ts: int) -> DataFrame
     return read_entries(cursors, docs, now_ts).filter("unixTime IS NOT NULL").drop("broken")
 
 
-def assembled(entries: DataFrame, pages: DataFrame, clean: bool = False) -> DataFrame:
+def assembled(
+    entries: DataFrame, pages: DataFrame, clean: bool = False, unique_links: bool = False
+) -> DataFrame:
     """Articles of entries and fetched pages, an entry without a page included.
 
     Pages are first cut down to the links asked for and turned into title and
-    text, so no html is shuffled where the links are few.
+    text, so no html is shuffled where the links are few. Unless links are known
+    to be unique, one that many entries share is kept out of the shuffle.
     """
     links = entries.select(F.col("link").alias("url")).distinct()
-    found = extract_articles(pages.select("url", "html").join(links, "url"))
-    one = latest_per_key(found, ["url"], [F.asc("title"), F.asc("content")])
+    found = extract_articles(lookup(pages.select("url", "html"), links, "url"))
+    one = latest_per_key(found, ["url"], [F.asc("title"), F.asc("content")]).withColumnRenamed("url", "link")
     text = cleaned if clean else (lambda c: c)
+    joined = entries.join(one, "link", "left") if unique_links else split_join(entries, one, "link", "left")
     return (
-        entries.join(one, entries["link"] == one["url"], "left")
-        .select(
+        joined.select(
             "link", "rss", text(F.col("title")).alias("title"), text(F.col("content")).alias("content"),
             "unixTime", key_of(F.col("rss")).alias("rss_id"), key_of(F.col("link")).alias("article_id"),
             F.lit(None).cast("string").alias("llm_summary"),
@@ -98,9 +103,13 @@ def ingest_feeds(
     messages: DataFrame, registry: DataFrame, docs: DataFrame, pages: DataFrame, now_ts: int,
     clean: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Articles new to every feed asked for, and the feeds' cursors after them."""
+    """Articles new to every feed asked for, and the feeds' cursors after them.
+
+    The entries, a few short columns, are stored in the shared folder first: the
+    feed documents are parsed once, whatever is asked of the two results.
+    """
     cursors = feed_cursors(messages, registry)
-    entries = fresh_entries(cursors, docs, now_ts)
+    entries = stored(fresh_entries(cursors, docs, now_ts), "entries")
     moved = moved_cursors(cursors, entries).select("url", "dt")
     return assembled(entries, pages, clean), moved
 
@@ -188,7 +197,7 @@ def ingest_batch(
         entries = read.filter("broken IS NULL")
         keyed = entries.filter("link != ''").withColumn("article_id", key_of(F.col("link")))
         last = latest_per_key(keyed, ["article_id"], last_written()).select("rss", "link", "unixTime")
-        articles = assembled(last, pages, clean)
+        articles = assembled(last, pages, clean, unique_links=True)
         if sinks == ["articles"]:
             save(articles, stores, strategy, now, batch_id)
             articles = read_batch(spark, stores.articles, batch_id)

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from gazette.operators import filters, registry
+from gazette.operators import joins, registry
 from gazette.plans import export, ingest, monthly
 from gazette.schemas import ARTICLE, ARTICLE_COLUMNS
 from gazette.sinks import articles as article_store, export as export_sink, messages as message_sink
@@ -152,7 +152,23 @@ def test_cleaned_ingestion(spark, world):
         assert cursors.collect() == [(FEED_A, epoch(4))]
 
 
-def test_hot_feed_is_not_sorted_into_one_task(spark, world):
+def test_shared_links_and_many_feeds(spark, world, monkeypatch):
+    """The same articles when the registry is too large to send and links are crowded."""
+    docs, pages, stores = world
+    known = registry_store.read_registry(spark, stores.registry)
+    asked = spark.createDataFrame([(FEED_A, None), (FEED_B, None)], "u string, dt bigint")
+    want = sorted(map(str, ingest.ingest_feeds(asked, known, docs, pages, 0)[0].collect()))
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 1)
+    for rows in (0, 1):
+        monkeypatch.setattr(joins, "HOT_ROWS", rows)
+        for keys in (1, 100):
+            monkeypatch.setattr(joins, "MAX_HOT_KEYS", keys)
+            got = ingest.ingest_feeds(asked, known, docs, pages, 0)[0]
+            assert sorted(map(str, got.collect())) == want
+    assert len(want) == 4 and sum("u3" in w for w in want) == 2
+
+
+def test_no_nested_loops(spark, world):
     docs, pages, stores = world
     known = registry_store.read_registry(spark, stores.registry)
     asked = spark.createDataFrame([(FEED_A, None)], "u string, dt bigint")
