@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
+from gazette.functions.binding import bound
 from gazette.functions.text import text_or_empty
 from gazette.schemas import MESSAGE, METADATA_KEYS
 
@@ -20,37 +21,24 @@ def decoded(body: Column, schema: str = MESSAGE) -> Column:
 
     A truncated object would otherwise come back with the fields read so far.
     """
-    marked = F.from_json(
-        body, f"{schema}, _broken string", {"columnNameOfCorruptRecord": "_broken"}
-    )
-    names = [part.split()[0] for part in _fields(schema)]
+    names = T.StructType.fromDDL(schema).names
+    read = F.from_json(body, f"{schema}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
     return F.when(
-        marked["_broken"].isNull() & body.rlike(r"^\s*\{"),
-        F.struct(*[marked[n].alias(n) for n in names]),
+        body.rlike(r"^\s*\{"),
+        bound(read, lambda m: F.when(m["_broken"].isNull(), F.struct(*[m[n].alias(n) for n in names]))),
     )
 
 
-def _fields(schema: str) -> list[str]:
-    from pyspark.sql.types import StructType
-
-    return [f.name for f in StructType.fromDDL(schema).fields]
-
-
 def body_rows(body: Column, schema: str) -> Column:
     """Rows of a body: an object is one, a list of objects many.
 
     Anything else, a bare scalar or a list holding a non-object included, has
     none: the result is null.
     """
-    rows = F.from_json(body, f"array<struct<{_struct(schema)}>>")
-    return F.when(body.rlike(r"^\s*[\[{]") & ~F.exists(rows, lambda r: r.isNull()), rows)
-
-
-def _struct(schema: str) -> str:
-    from pyspark.sql.types import StructType
-
-    return ", ".join(
-        f"`{f.name}`: {f.dataType.simpleString()}" for f in StructType.fromDDL(schema).fields
+    rows = F.from_json(body, T.ArrayType(T.StructType.fromDDL(schema)))
+    return F.when(
+        body.rlike(r"^\s*[\[{]"),
+        bound(rows, lambda found: F.when(~F.exists(found, lambda r: r.isNull()), found)),
     )
 
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
+from gazette.functions.binding import bound
+
 # Spark does not parse weekday names, and a free-form date parser takes no notice
 # of zone names it does not know, so both go before the patterns are tried.
 _WEEKDAY = r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
@@ -38,14 +39,14 @@ def publish_epoch(published: Column, now_ts: Column | int) -> Column:
     Dates without a zone are UTC, so the session zone must be UTC.
     """
     now = now_ts if isinstance(now_ts, Column) else F.lit(now_ts)
-    return F.coalesce(F.unix_seconds(_bound(F.trim(published), _instant)), now.cast("long"))
+    return F.coalesce(F.unix_seconds(bound(F.trim(published), _instant)), now.cast("long"))
 
 
 def _instant(raw: Column) -> Column:
     # The two common forms need no rewriting.
     usual = F.when(raw.rlike(_USUAL), _try(F.substring_index(raw, ", ", -1), _SHAPES[0][1]))
     iso = F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(raw))
-    return F.coalesce(usual, iso, _bound(_rewritten(raw), _shaped))
+    return F.coalesce(usual, iso, bound(_rewritten(raw), _shaped))
 
 
 def _rewritten(raw: Column) -> Column:
@@ -63,11 +64,6 @@ def _try(text: Column, pattern: str) -> Column:
     return F.try_to_timestamp(text, F.lit(pattern))
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with the value computed once, however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def utc_midnight(day: str | None) -> dt.datetime | None:
     """`YYYY-MM-DD` as an instant, for range bounds (C8); a bad text raises."""
     if day is None:

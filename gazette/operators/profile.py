@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from gazette.functions.text import key_of
+from gazette.session import stored
 
 SUMMARY = (
     "column_name string, `count` bigint, `unique` bigint, top string, freq bigint, mean double, "
@@ -70,16 +71,20 @@ def _summary(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 
 def _describe_texts(df: DataFrame, columns: list[str]) -> dict[str, dict]:
-    """Texts of all columns are counted in one pass, by their hash: no text is shuffled."""
+    """Texts of all columns are counted in one pass, by their hash: no text is shuffled.
+
+    The counts are stored in the shared folder, as they are asked three things.
+    """
     cells = [
         F.struct(F.lit(i).alias("column"), F.unhex(key_of(F.col(f"`{c}`"), 64)).alias("key"))
         for i, c in enumerate(columns)
     ]
-    per_key = (
+    per_key = stored(
         df.select(F.inline(F.array(*cells)))
         .filter("key IS NOT NULL")
         .groupBy("column", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "text-counts",
     )
     totals = per_key.groupBy("column").agg(
         F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq")

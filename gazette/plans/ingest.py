@@ -191,7 +191,7 @@ def ingest_batch(
     started = time.monotonic()
     spark = messages.sparkSession
     asked, unreadable = decoded_messages(messages)
-    cursors = feed_cursors(asked, read_registry(spark, stores.registry, before_batch=batch_id))
+    cursors = feed_cursors(asked, read_registry(spark, stores.registry, before_batch=batch_id)).persist()
     read = read_entries(cursors, docs, int(now.timestamp())).persist()
     try:
         entries = read.filter("broken IS NULL")
@@ -213,3 +213,4 @@ def ingest_batch(
         write_metrics(results, time.monotonic() - started, stores.metrics, now, batch_id)
     finally:
         read.unpersist()
+        cursors.unpersist()

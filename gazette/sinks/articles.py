@@ -56,12 +56,13 @@ def read_articles(
     start_date: str | None = None,
     end_date: str | None = None,
     whole_end_day: bool = False,
+    file_format: str = "parquet",
 ) -> DataFrame:
     """Stored articles of a range of ingest times, the last write of each object.
 
     Only folders the range can touch are read.
     """
-    rows = in_day_partitions(spark.read.schema(STORED).parquet(path), start_date, end_date)
+    rows = in_day_partitions(spark.read.schema(STORED).format(file_format).load(path), start_date, end_date)
     rows = in_range(rows, "ingest_ts", start_date, end_date, whole_end_day)
     return latest_per_key(
         rows, ["year", "month", "day", "article_id"], [F.desc("ingest_ts"), F.desc("batch_id")]

@@ -252,6 +252,8 @@ SELECT article_id, '2024/11/7/' || article_id || '.json' AS path, stored AS titl
     "corrupt_records": """
 SELECT CASE WHEN lang <> 'fr' THEN doc_id END AS doc_id,
        CASE WHEN lang <> 'fr' THEN length(text) ELSE 12 END::INTEGER AS n_chars FROM documents""",
+    "object_files": f"""WITH {PAGES}
+SELECT link, rss, t AS "unixTime", {_key("link")} AS article_id FROM pages_p""",
     "vector_rejects": """SELECT vec_id::VARCHAR AS id, (label = 3)::INTEGER AS rejected FROM embeddings""",
     "monthly_union": """
 SELECT doc_id, text, source, NULL::VARCHAR AS url FROM documents

@@ -557,6 +557,21 @@ def corrupt_records(spark, sf_dir):
     )
 
 
+@query
+def object_files(spark, sf_dir):
+    """One JSON object per file, read by a range of storage times."""
+    path = shared_dir(spark, "objects")
+    p = t.page_entries(spark, sf_dir).select(
+        "link", "rss", "unixTime", key_of(F.col("link")).alias("article_id")
+    )
+    p.write.option("maxRecordsPerFile", 1).json(path)
+    good, _ = objects.read_objects(spark, path, start_date="2024-01-01")
+    late, _ = objects.read_objects(spark, path, end_date="2024-01-01")
+    return good.select("link", "rss", "unixTime", "article_id").unionByName(
+        late.select("link", "rss", "unixTime", "article_id")
+    )
+
+
 @query
 def vector_rejects(spark, sf_dir):
     """vectors of the wrong length set apart."""
