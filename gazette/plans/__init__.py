@@ -1 +1 @@
-"""The reference flows end to end, composed from the operators."""
+"""The flows end to end, composed from the operators."""

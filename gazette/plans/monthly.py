@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,20 +11,29 @@ from gazette.functions.text import na_strings_to_null
 from gazette.operators.counts import head
 from gazette.operators.filters import with_content, with_title
 from gazette.operators.merge import concatenated
-from gazette.operators.profile import describe, null_share, unpivoted
+from gazette.operators.profile import describe, null_share
 from gazette.schemas import ARTICLE_CSV
 from gazette.sources.objects import read_exports
 
 
-@dataclass(frozen=True)
+@dataclass
 class Month:
-    """What preparing a month gives."""
+    """What preparing a month gives; the summary is worked out when it is asked for."""
 
     clean: DataFrame
     null_before: DataFrame
     null_after: DataFrame
-    summary: DataFrame
-    head: DataFrame
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Summary statistics of the clean rows (A10)."""
+        return describe(self.clean)
+
+    @property
+    def head(self) -> DataFrame:
+        """Its first five rows by article."""
+        by = "article_id" if "article_id" in self.clean.columns else self.clean.columns[0]
+        return head(self.clean, [F.asc(by)])
 
 
 def profiles(df: DataFrame) -> tuple[list[str], DataFrame, DataFrame]:
@@ -53,15 +63,14 @@ def profiles(df: DataFrame) -> tuple[list[str], DataFrame, DataFrame]:
 
 
 def prepare_month(df: DataFrame) -> Month:
-    """Drop empty columns, profile, drop rows without content and title, describe (B2)."""
+    """Drop empty columns, profile, drop rows without content and title (B2)."""
     df = na_strings_to_null(df)
     kept, before, after = profiles(df)
     narrow = df.select(*[F.col(f"`{c}`") for c in kept])
     for column, drop in (("content", with_content), ("title", with_title)):
         # A column that is null throughout was dropped, and every row with it.
         narrow = drop(narrow) if column in kept else narrow.limit(0)
-    first = head(narrow, [F.asc("article_id")] if "article_id" in kept else [F.asc(kept[0])]) if kept else narrow
-    return Month(narrow, before, after, describe(narrow), first)
+    return Month(narrow, before, after)
 
 
 def prepare_exports(spark: SparkSession, slices: list[str], out: str, schema: str = ARTICLE_CSV) -> Month:
@@ -76,4 +85,4 @@ def prepare_exports(spark: SparkSession, slices: list[str], out: str, schema: st
     concatenated(spark, frames, schema).write.mode("errorifexists").parquet(f"{out}/aggregated")
     month = prepare_month(spark.read.parquet(f"{out}/aggregated"))
     month.clean.write.mode("errorifexists").parquet(f"{out}/clean")
-    return month
+    return replace(month, clean=spark.read.schema(month.clean.schema).parquet(f"{out}/clean"))

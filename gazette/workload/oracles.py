@@ -5,7 +5,10 @@ from __future__ import annotations
 from gazette.workload.tables import DOCUMENT_STEP, EPOCH, NOW, PAGE_STEP
 
 URL = r"http\S+|www\S+"
-NA = "('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"
+NA = (
+    "('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+    "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"
+)
 BLOCKS = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
     r'|<nav\b.*?</nav\s*>|<div class="ad">.*?</div\s*>'

@@ -3,7 +3,6 @@
 import datetime as dt
 import math
 import random
-import statistics
 
 import numpy as np
 import pandas as pd
