@@ -142,11 +142,15 @@ def search(index: DataFrame, queries: DataFrame, top_k: int, metric: str = "cosi
         F.col("query_id").cast("string").alias("query_id"), "namespace",
         as_doubles(F.col("vector")).alias("vector"),
     )
-    groups = max(1, -(-asked.count() // MAX_SMALL_QUERIES))
-    group = F.pmod(F.xxhash64("query_id"), F.lit(groups))
-    blocks = [
-        _block_best(index, asked.filter(group == i).collect(), top_k, metric) for i in range(groups)
-    ]
+    few = asked.limit(MAX_SMALL_QUERIES + 1).collect()
+    if len(few) <= MAX_SMALL_QUERIES:
+        blocks = [_block_best(index, few, top_k, metric)]
+    else:
+        groups = -(-asked.count() // MAX_SMALL_QUERIES)
+        group = F.pmod(F.xxhash64("query_id"), F.lit(groups))
+        blocks = [
+            _block_best(index, asked.filter(group == i).collect(), top_k, metric) for i in range(groups)
+        ]
     best = first_per_key(
         reduce(DataFrame.unionByName, blocks), ["query_id"], [_nearest_first(metric), F.asc("id")], top_k
     )

@@ -35,11 +35,11 @@ def upsert_vectors(vectors: DataFrame, path: str, batch_id: int = 0) -> None:
     """Store vectors of one batch (K8); later batches win by `(namespace, id)`.
 
     Vectors of another dimension go to the `rejects` folder. A batch written
-    again replaces itself.
+    again replaces itself; of two rows with one key in a batch the same one stays.
     """
     dim = collection(vectors.sparkSession, path)["dim"]
     kept, rejects = split_dimension(vectors, dim)
-    latest = latest_per_key(kept, ["namespace", "id"], [F.asc(F.to_json("values"))])
+    latest = latest_per_key(kept, ["namespace", "id"], [F.asc(F.xxhash64("values"))])
     (
         latest.withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
