@@ -144,20 +144,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = ANCHOR) ->
     found = every.where(F.size("runs") > 0).select("place", "text_key", F.explode("runs").alias("run"))
     alike = kept(
         found.groupBy("run.anchor", "run.digest").agg(
-            F.min("place").alias("lo"), F.max("place").alias("hi"), F.first("run.windows").alias("windows")),
+            F.min("place").alias("lo"), F.max("place").alias("hi"), F.first("run.windows").alias("windows"))
+        .withColumn("n", F.size("windows")),
         "run-classes")
-    each = alike.select("anchor", "digest", "lo", "hi", F.posexplode("windows").alias("at", "window"))
+    # an anchor with one run of windows needs no look at its windows one by one
+    mixed = kept(alike.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "mixed-anchors")
+    plain = alike.where("lo < hi").join(mixed, "anchor", "left_anti").select(
+        "anchor", "digest", F.expr("array(named_struct('at', 0, 'n', n, 'first', lo))").alias("owners"))
+    each = kept(
+        alike.join(mixed, "anchor", "left_semi")
+        .select("anchor", "digest", "lo", "hi", F.posexplode("windows").alias("at", "window")), "mixed-windows")
     first = kept(
         each.groupBy("anchor", "window").agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
         .where("first < last").drop("last"), "repeated-windows")
     owners = (
-        each.join(first, ["anchor", "window"]).where("hi > first")
-        .groupBy("anchor", "digest").agg(F.collect_list(F.struct("at", "first")).alias("owners")))
+        each.join(first, ["anchor", "window"]).where("hi > first").groupBy("anchor", "digest")
+        .agg(F.collect_list(F.expr("named_struct('at', at, 'n', 1, 'first', first)")).alias("owners")))
     starts = (
         found.select("place", "text_key", "run.anchor", "run.digest", "run.start")
-        .join(kept(owners, "window-owners"), ["anchor", "digest"])
-        .select("place", "text_key", F.expr(
-            "transform(filter(owners, o -> o.first < place), o -> start + o.at)").alias("starts"))
+        .join(kept(plain.unionByName(owners), "window-owners"), ["anchor", "digest"])
+        .select("place", "text_key", F.expr("""
+            flatten(transform(filter(owners, o -> o.first < place),
+                              o -> sequence(start + o.at, start + o.at + o.n - 1)))""").alias("starts"))
         .where(F.size("starts") > 0)
         .groupBy("place", "text_key").agg(F.flatten(F.collect_list("starts")).alias("starts")))
     touched = (
