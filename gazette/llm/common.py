@@ -29,15 +29,22 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     A name is matched exactly first and then without regard to case; of several
     columns with one name the first counts. A column that is missing is null.
     """
+    plain, at = numbered(df)
+    return plain.select(*[
+        (F.lit(None) if at(name) is None else F.col(at(name))).cast(kind).alias(name)
+        for name, kind in columns.items()])
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, Callable[[str], str | None]]:
+    """The table with its columns named c0, c1, ..., and where a name went (see `pick`)."""
     names = df.columns
-    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
-    found = []
-    for name, kind in columns.items():
-        at = names.index(name) if name in names else next(
-            (i for i, other in enumerate(names) if other.lower() == name.lower()), None)
-        value = F.lit(None) if at is None else F.col(f"c{at}")
-        found.append(value.cast(kind).alias(name))
-    return plain.select(*found)
+
+    def at(name: str) -> str | None:
+        if name in names:
+            return f"c{names.index(name)}"
+        return next((f"c{i}" for i, other in enumerate(names) if other.lower() == name.lower()), None)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]), at
 
 
 def words(text: str = "text"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import substrings
+from gazette.llm import lines, neardup, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,3 +54,77 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM docs LEFT JOIN gone_lists USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
+
+
+@_query("op5_near_dedup")
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingles agree to four fifths."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
+
+
+_COMPONENTS_SQL = """
+reach AS (
+    SELECT n AS node, n AS root FROM nodes
+    UNION
+    SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+components AS (SELECT node, min(root) AS component FROM reach GROUP BY node)
+"""
+
+ORACLES["op5_near_dedup"] = rf"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, {_WORDS_SQL.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(ws[s:s + 3], ' ')) AS h
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS s FROM docs WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
+    FROM shingles x JOIN shingles y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    WHERE 100 * n_both >= 80 * (s.n + t.n - n_both)),
+nodes AS (SELECT doc_id AS n FROM docs),
+{_COMPONENTS_SQL}
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component AS component_id, doc_id = component AS kept
+FROM docs JOIN components ON node = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@_query("op9_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that nearly equal an earlier one."""
+    left = lines.unique_lines(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op9_line_dedup"] = rf"""
+WITH RECURSIVE raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+numbered AS (SELECT doc_id, unnest(ls) AS whole, unnest(range(len(ls))) AS i FROM raw),
+every AS (
+    SELECT doc_id, i, whole, regexp_replace(whole, '^[ 	-]+|[ 	-]+$', '', 'g') AS line
+    FROM numbered),
+classes AS (SELECT line, row_number() OVER (ORDER BY line) AS node FROM (SELECT DISTINCT line FROM every WHERE line <> '')),
+nodes AS (SELECT node AS n FROM classes),
+shingles AS (
+    SELECT DISTINCT node, hash(substr(line, s, 9)) AS h
+    FROM (SELECT node, line, unnest(range(1, greatest(length(line) - 7, 2))) AS s FROM classes)),
+sizes AS (SELECT node, count(*) AS n FROM shingles GROUP BY node),
+pairs AS (
+    SELECT x.node AS a, y.node AS b, count(*) AS n_both
+    FROM shingles x JOIN shingles y ON x.h = y.h AND x.node <> y.node GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs JOIN sizes s ON s.node = a JOIN sizes t ON t.node = b
+    WHERE 100 * n_both >= 80 * (s.n + t.n - n_both)),
+{_COMPONENTS_SQL},
+placed AS (
+    SELECT doc_id, i, whole, component,
+           component IS NULL OR row_number() OVER (PARTITION BY component ORDER BY doc_id, i) = 1 AS stays
+    FROM every LEFT JOIN classes USING (line) LEFT JOIN components USING (node))
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM documents d LEFT JOIN (
+    SELECT doc_id, count(component) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
+           string_agg(whole, chr(10) ORDER BY i) FILTER (stays) AS t
+    FROM placed GROUP BY doc_id) p ON p.doc_id = d.doc_id
+"""
