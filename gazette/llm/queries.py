@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import importlib.util
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import lines, neardup, substrings
+from gazette.llm import lines, mixing, neardup, pieces, pii, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,7 +104,9 @@ ORACLES["op9_line_dedup"] = rf"""
 WITH RECURSIVE raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 numbered AS (SELECT doc_id, unnest(ls) AS whole, unnest(range(len(ls))) AS i FROM raw),
 every AS (
-    SELECT doc_id, i, whole, regexp_replace(whole, '^[ 	-]+|[ 	-]+$', '', 'g') AS line
+    SELECT doc_id, i, whole, regexp_replace(whole, '^[ 	-
+]+|[ 	-
+]+$', '', 'g') AS line
     FROM numbered),
 classes AS (SELECT line, row_number() OVER (ORDER BY line) AS node FROM (SELECT DISTINCT line FROM every WHERE line <> '')),
 nodes AS (SELECT node AS n FROM classes),
@@ -128,3 +132,83 @@ FROM documents d LEFT JOIN (
            string_agg(whole, chr(10) ORDER BY i) FILTER (stays) AS t
     FROM placed GROUP BY doc_id) p ON p.doc_id = d.doc_id
 """
+
+
+def _tokenizer(name: str) -> str:
+    """Where a file of the public tokenizers is; PUBLIC_TOKENIZERS may name another folder."""
+    folder = os.environ.get("PUBLIC_TOKENIZERS")
+    if not folder:
+        found = importlib.util.find_spec("public_tokenizers")
+        folder = os.path.dirname(found.origin) if found else "/opt/tokenizers"
+    return os.path.join(folder, name)
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """Digests of the ids and of the decoded text of each document."""
+    out = pieces.encode(docs, pieces.read_model(_tokenizer("piece_bpe_32k.model")))
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query("op8_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as ids of the public 32,000-piece model, and decoded again."""
+    return encoded(_table(spark, sf_dir, "documents"))
+
+
+@_query("op2_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+@_query("op4_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the threshold table for each document."""
+    return quality.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_STOP_SQL = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+
+ORACLES["op4_quality_rules"] = rf"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, {_WORDS_SQL} AS ws,
+           [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^ 	-
+]')] AS ls
+    FROM documents),
+windows AS (
+    SELECT doc_id, s, array_to_string(ws[s:s + 2], ' ') AS t
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS s FROM docs)),
+again AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, t) AS n FROM windows),
+covered AS (
+    SELECT doc_id, count(DISTINCT i) AS n FROM (
+        SELECT doc_id, unnest(range(s, s + 3)) AS i FROM again WHERE n > 1) GROUP BY doc_id),
+counts AS (
+    SELECT doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars,
+           len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines,
+           coalesce(n, 0) AS n_repeat_words,
+           len([w FOR w IN ws IF lower(w) IN ({_STOP_SQL})]) AS n_stop,
+           len([x FOR x IN ls IF regexp_matches(x, '(\.\.\.|…)[ 	-
+]*$')]) AS n_ellipsis,
+           len([x FOR x IN ls IF regexp_matches(x, '^[ 	-
+]*[•*‣-]')]) AS n_bullet
+    FROM docs LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words BETWEEN 50 AND 1e7 AND word_chars / n_words BETWEEN 2 AND 20
+       AND n_symbols / n_words <= 0.1 AND n_stop / n_words >= 0.005 AND n_dup_lines / n_lines <= 0.3
+       AND n_ellipsis / n_lines <= 0.3 AND n_bullet / n_lines <= 0.9 AS kept
+FROM judged
+"""
+
+
+@_query("op10_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans counted and named, and all spans."""
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
