@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import grouped, in_arrow, kept, pick, texts_of, window_hashes, word_hashes
+from gazette.llm.common import grouped, in_arrow, kept, numbered, pick, texts_of, window_hashes, word_hashes
 from gazette.llm.graph import components
 from gazette.llm.minhash import (
     band_keys, block_pairs, clusters, link_batch, links_of, odd_similarity, odd_sketches, permutations, signature,
@@ -58,7 +58,7 @@ def _signed(width: int):
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 bands.append(band_keys(signature(s, np.zeros(1, np.int64), a, b), ROWS).tobytes() if len(s) else b"")
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
+                "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "n_shingles": pa.array(sizes, pa.int64()),
                 "digest": pa.array(digests, pa.binary()), "bands": pa.array(bands, pa.binary()),
             })
 
@@ -110,10 +110,14 @@ def _compare(threshold: tuple[int, int]):
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept, for each document."""
+    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept and text_key, for each document.
+
+    `text_key` is xxhash64 of the text.
+    """
     rows = pick(docs, doc_id="long", text="string")
-    signed = kept(
-        in_arrow(rows, _signed(shingle), "doc_id long, n_shingles long, digest binary, bands binary"), "signed")
+    signed = kept(in_arrow(
+        rows.withColumn("text_key", F.xxhash64("text")), _signed(shingle),
+        "doc_id long, text_key long, n_shingles long, digest binary, bands binary"), "signed")
     classes = kept(
         signed.where("digest is not null and doc_id is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("node")), "set-classes")
@@ -131,7 +135,30 @@ def near_duplicates(
         "class-ids")
     own = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return (
-        signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+        signed.select("doc_id", "text_key", "n_shingles", "digest").join(named, "digest", "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), own))
         .select("doc_id", "n_shingles", "component_id",
-                F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+                F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_key"))
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of `docs`, all columns, of which one row of each component of near duplicates stays.
+
+    Of rows that share the kept doc_id the one with the least text_key stays; rows
+    without words or without doc_id all stay.
+    """
+    judged = near_duplicates(docs, **how).where("n_shingles > 0 and doc_id is not null")
+    keys = kept(judged.groupBy("doc_id", "text_key").agg(
+        F.first("kept").alias("stays"), F.count("*").alias("many")), "judged")
+    chosen = keys.where("stays").groupBy("doc_id").agg(F.min("text_key").alias("chosen"))
+    verdicts = kept(
+        keys.join(chosen, "doc_id", "left").withColumn("stays", F.col("stays") & (F.col("text_key") == F.col("chosen")))
+        .where("not stays or many > 1").select("doc_id", "text_key", "stays"), "verdicts")
+    plain, at = numbered(docs)
+    names = plain.columns
+    rows = plain.withColumns({
+        "doc_id": F.col(at("doc_id")).cast("long"), "text_key": F.xxhash64(F.col(at("text")).cast("string")),
+    }).join(verdicts, ["doc_id", "text_key"], "left")
+    alone = rows.where("stays is null").select(*names)
+    repeated = rows.where("stays").dropDuplicates(["doc_id", "text_key"]).select(*names)
+    return alone.unionByName(repeated).toDF(*docs.columns)

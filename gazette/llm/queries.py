@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import lines, mixing, neardup, pieces, pii, quality, substrings
+from gazette.llm import lines, mixing, neardup, pieces, pii, quality, substrings, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -212,3 +212,87 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents"))
     return found.withColumn("base_sha256", F.sha2("base", 256)).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+@_query("op1_toxicity")
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from labelled rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    net = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, net).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query("op6_warc_audit")
+def warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, its segment's root in two replicas, and whether the second is damaged.
+
+    The second replica is the first one after decay: the first character of every page
+    whose id is divisible by 50 has turned into another.
+    """
+    pages = _table(spark, sf_dir, "pages")
+    rotten = pages.withColumn("html", F.when(
+        F.col("page_id") % 50 == 0, F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html")))
+    mine, other = warc.records(pages), warc.records(rotten)
+    trees = warc.tree(mine), warc.tree(other)
+    damaged = warc.audit(*trees).withColumn("damaged", F.lit(True))
+    roots = [t[-1].select("segment", "part", F.col("hash").alias(name)) for t, name in zip(trees, ("root", "other_root"))]
+    return (
+        mine.join(damaged, ["segment", "part", "at"], "left")
+        .join(roots[0], ["segment", "part"]).join(roots[1], ["segment", "part"])
+        .select("page_id", "segment", "at", "start", "length", "sha256", "root", "other_root",
+                F.coalesce("damaged", F.lit(False)).alias("damaged")))
+
+
+def _replica_sql(name: str, html: str) -> str:
+    return rf"""
+{name}_texts AS (
+    SELECT page_id, page_id // 1024 AS segment, sha256(page_id::VARCHAR || ' ' || url) AS name,
+           'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+           || 'WARC-Record-ID: <urn:sha256:' || sha256(page_id::VARCHAR || ' ' || url) || '>' || chr(13) || chr(10)
+           || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+           || 'Content-Length: ' || octet_length(encode({html}))::VARCHAR || chr(13) || chr(10) || chr(13) || chr(10)
+           || {html} || chr(13) || chr(10) || chr(13) || chr(10) AS t
+    FROM pages),
+{name}_records AS (
+    SELECT page_id, segment, row_number() OVER w - 1 AS "at",
+           (sum(octet_length(encode(t))) OVER w - octet_length(encode(t)))::BIGINT AS start,
+           octet_length(encode(t)) AS length, sha256(t) AS sha256
+    FROM {name}_texts WINDOW w AS (PARTITION BY segment ORDER BY page_id, name ROWS UNBOUNDED PRECEDING)),
+{name}_0 AS (SELECT segment, "at", sha256(start::VARCHAR || ':' || length::VARCHAR || ':' || sha256) AS h FROM {name}_records),
+{name}_1 AS (SELECT segment, "at" // 16 AS "at", sha256(string_agg(h, '' ORDER BY "at")) AS h FROM {name}_0 GROUP BY 1, "at" // 16),
+{name}_2 AS (SELECT segment, "at" // 16 AS "at", sha256(string_agg(h, '' ORDER BY "at")) AS h FROM {name}_1 GROUP BY 1, "at" // 16),
+{name}_3 AS (SELECT segment, sha256(string_agg(h, '' ORDER BY "at")) AS h FROM {name}_2 GROUP BY 1)"""
+
+
+ORACLES["op6_warc_audit"] = f"""
+WITH {_replica_sql("a", "html")},
+{_replica_sql("b", "CASE WHEN page_id % 50 = 0 THEN '#' || substr(html, 2) ELSE html END")}
+SELECT r.page_id, r.segment, r."at", r.start, r.length, r.sha256, x.h AS root, y.h AS other_root,
+       p.h <> q.h AS damaged
+FROM a_records r JOIN a_3 x USING (segment) JOIN b_3 y USING (segment)
+JOIN a_0 p USING (segment, "at") JOIN b_0 q USING (segment, "at")
+"""
+
+
+@_query("op7_vector_dedup")
+def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors whose cosine is 0.95 or more."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_vector_dedup"] = f"""
+WITH RECURSIVE good AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+nodes AS (SELECT vec_id AS n FROM embeddings),
+{_COMPONENTS_SQL},
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component AS component_id, vec_id = component AS kept
+FROM embeddings JOIN components ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""
