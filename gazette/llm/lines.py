@@ -56,34 +56,41 @@ def _lines(text: bytes) -> list[tuple[int, str]]:
 
 
 def _signed(chars: int):
-    a, b = permutations(BANDS * ROWS)
+    a = permutations(BANDS * ROWS)
+
+    def keys_of(new: dict[bytes, str]) -> Iterator[tuple[bytes, bytes]]:
+        some, held = [], 0
+        for n, (digest, line) in enumerate(new.items()):
+            some.append(digest)
+            held += len(line)
+            if held > 1 << 17 or n + 1 == len(new):
+                keys = band_keys(signature(*shingles([new[d] for d in some], chars), a), ROWS).tobytes()
+                yield from ((d, keys[8 * BANDS * i:8 * BANDS * (i + 1)]) for i, d in enumerate(some))
+                some, held = [], 0
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[bytes] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                row, number, node, bands = [], [], [], []
+                row, number, node, new = [], [], [], {}
                 for i, text in enumerate(texts_of(batch)):
-                    found = _lines(text)
-                    digests = [xxhash.xxh3_128_digest(line.encode()) for _, line in found]
-                    new = {d: line for d, (_, line) in zip(digests, found) if d not in known}
-                    keys = {}
-                    if new:
-                        s, starts = shingles(list(new.values()), chars)
-                        keys = dict(zip(new, band_keys(signature(s, starts, a, b), ROWS)))
-                        if len(known) > _REMEMBERED:
-                            known.clear()
-                        known.update(new)
-                    row += [i] * len(found)
-                    number += [n for n, _ in found]
-                    node += digests
-                    bands += [x.tobytes() if (x := keys.pop(d, None)) is not None else b"" for d in digests]
+                    for n, line in _lines(text):
+                        digest = xxhash.xxh3_128_digest(line.encode())
+                        row.append(i)
+                        number.append(n)
+                        node.append(digest)
+                        if digest not in known:
+                            new[digest] = line
+                bands = dict(keys_of(new))
+                if len(known) > _REMEMBERED:
+                    known.clear()
+                known.update(new)
                 rows = pa.array(row, pa.int64())
                 yield pa.record_batch({
                     "place": batch.column("place").take(rows), "text_key": batch.column("text_key").take(rows),
                     "line": pa.array(number, pa.int32()), "node": pa.array(node, pa.binary()),
-                    "bands": pa.array(bands, pa.binary()),
+                    "bands": pa.array([bands.pop(d, b"") for d in node], pa.binary()),
                 })
 
     return work

@@ -22,35 +22,38 @@ from gazette.llm.sketch import PARTS, Seen, bits_for, parts
 
 #: Most members of a cluster in one block; two blocks meet in one group.
 BLOCK = 256
+_CACHED = 2048
 
 
-def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Multipliers and offsets of `n` cheap permutations of 32-bit numbers."""
-    drawn = np.random.default_rng(20241118).integers(0, 1 << 32, (2, n), dtype=np.uint64).astype(np.uint32)
-    return drawn[0] | np.uint32(1), drawn[1]
+def permutations(n: int) -> np.ndarray:
+    """Odd multipliers: each orders the 32-bit numbers anew."""
+    return np.random.default_rng(20241118).integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def signature(shingles: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, starts: np.ndarray, a: np.ndarray) -> np.ndarray:
     """(sets, permutations): the least value of each permutation over each run of shingles.
 
     `starts` holds where each non-empty set begins; shingles may repeat in a set.
     """
     x = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
     out = np.empty((len(starts), len(a)), np.uint32)
-    ends = np.r_[starts[1:], len(x)]
+    ends, wide = np.r_[starts[1:], len(x)], a[:, None]
+    buffer = np.empty((len(a), min(_CACHED, len(x))), np.uint32)
     at = 0
     while at < len(starts):
         # sets are taken together as far as they fit into the processor's cache
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + 4096, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _CACHED, "right")))
         lo, hi = int(starts[at]), int(ends[to - 1])
         if to == at + 1:
             least = np.full(len(a), 0xFFFFFFFF, np.uint32)
-            for cut in range(lo, hi, 4096):
-                np.minimum(least, (x[None, cut:min(hi, cut + 4096)] * a[:, None] + b[:, None]).min(axis=1), out=least)
+            for cut in range(lo, hi, _CACHED):
+                part = x[None, cut:min(hi, cut + _CACHED)]
+                some = np.multiply(part, wide, out=buffer[:, :part.shape[1]])
+                np.minimum(least, some.min(axis=1), out=least)
             out[at] = least
         else:
-            out[at:to] = np.minimum.reduceat(
-                x[None, lo:hi] * a[:, None] + b[:, None], starts[at:to] - lo, axis=1).T
+            some = np.multiply(x[None, lo:hi], wide, out=buffer[:, :hi - lo])
+            out[at:to] = np.minimum.reduceat(some, starts[at:to] - lo, axis=1).T
         at = to
     return out
 
@@ -58,11 +61,11 @@ def signature(shingles: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.nda
 def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     """(sets, bands): one 64-bit key for each band of `rows` values."""
     n, k = signatures.shape
-    parts_ = signatures.reshape(n, k // rows, rows).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, k // rows + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95), (n, k // rows))
     for i in range(rows):
-        key = mix(key ^ (parts_[:, :, i] + np.uint64((i + 1) * 0x632BE59BD9B4E019 % (1 << 64))))
-    return key
+        odd = ((i + 1) * 0x632BE59BD9B4E019 | 1) % (1 << 64)
+        key = key + signatures[:, i::rows] * np.uint64(odd)
+    return mix(key)
 
 
 def odd_sketches(signatures: np.ndarray, bits: int) -> np.ndarray:

@@ -31,7 +31,7 @@ SHARDS = 8
 SEED = 20241118
 #: Blocks are made larger beyond so many, so that block arithmetic fits 64 bits.
 _MOST_BLOCKS = 1 << 30
-_ROWS_A_BUCKET = 4096
+_ROWS_A_BUCKET = 512
 _PRIMES = (1_000_000_007, 998_244_353)
 
 

@@ -47,7 +47,7 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
 
 
 def _signed(width: int):
-    a, b = permutations(BANDS * ROWS)
+    a = permutations(BANDS * ROWS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,7 +56,7 @@ def _signed(width: int):
                 s = shingle_set(text, width)
                 sizes.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                bands.append(band_keys(signature(s, np.zeros(1, np.int64), a, b), ROWS).tobytes() if len(s) else b"")
+                bands.append(band_keys(signature(s, np.zeros(1, np.int64), a), ROWS).tobytes() if len(s) else b"")
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "n_shingles": pa.array(sizes, pa.int64()),
                 "digest": pa.array(digests, pa.binary()), "bands": pa.array(bands, pa.binary()),
@@ -66,12 +66,12 @@ def _signed(width: int):
 
 
 def _sets(width: int):
-    a, b = permutations(BANDS * ROWS)
+    a = permutations(BANDS * ROWS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text, width) for text in texts_of(batch)]
-            odd = [odd_sketches(signature(s, np.zeros(1, np.int64), a, b), SKETCH_BITS).tobytes() for s in sets]
+            odd = [odd_sketches(signature(s, np.zeros(1, np.int64), a), SKETCH_BITS).tobytes() for s in sets]
             yield pa.record_batch({
                 "node": batch.column("node"), "cluster": batch.column("cluster"),
                 "n_blocks": batch.column("n_blocks"),

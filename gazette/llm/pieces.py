@@ -144,13 +144,14 @@ class Model:
         return self._normalise_slowly(text, mark)
 
     def _normalise_slowly(self, text: bytes, mark: bytes) -> tuple[bytes, np.ndarray]:
-        parts, at = [], 0  # (output, source start, source end)
+        parts, at = [], 0  # (output, source start, source end, whether replaced)
         while at < len(text):
             taken, out = self.map.longest(text, at) if self.map else (0, b"")
+            replaced = bool(taken)
             if not taken:
                 taken = next(n for lead, n in ((0x80, 1), (0xE0, 2), (0xF0, 3), (0x100, 4)) if text[at] < lead)
                 out = text[at:at + taken]
-            parts.append((out, at, at + taken))
+            parts.append((out, at, at + taken, replaced))
             at += taken
         if self.extra_removed:
             while parts and parts[0][0].strip(b" ") == b"":
@@ -161,15 +162,15 @@ class Model:
             out += mark
             place += [first] * len(mark)
         gap, end = self.extra_removed, first
-        for piece, start, stop in parts:
+        for piece, start, stop, replaced in parts:
             if self.extra_removed and gap:
                 piece = piece.lstrip(b" ")
             if not piece:
                 continue
-            for byte in piece:
+            for n, byte in enumerate(piece):
                 value = mark if byte == 32 else bytes([byte])
                 out += value
-                place += [start] * len(value)
+                place += [start if replaced else start + n] * len(value)
             gap, end = piece.endswith(b" "), stop
         if self.extra_removed:
             while out.endswith(mark):

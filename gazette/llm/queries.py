@@ -61,7 +61,7 @@ FROM docs LEFT JOIN gone_lists USING (doc_id) LEFT JOIN left_over USING (doc_id)
 @_query("op5_near_dedup")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose four-word shingles agree to four fifths."""
-    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4).drop("text_key")
 
 
 _COMPONENTS_SQL = """

@@ -1,0 +1,457 @@
+"""Operators against brute force on small tables, and on awkward rows."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gazette.llm import graph, lines, minhash, mixing, neardup, pii, quality, sketch, substrings, toxicity, vectors, warc
+from gazette.llm.common import window_hashes
+
+SCHEMA = "doc_id long, text string, n_words string, kept string, component_id string, size string, Text_ string"
+
+
+def table(spark, rows):
+    """Documents with extra columns named like results of the operators."""
+    return spark.createDataFrame([(i, t, "x", "x", "x", "x", "x") for i, t in rows], SCHEMA)
+
+
+def words(seed, n):
+    r = random.Random(seed)
+    return [f"w{r.randint(0, 10_000)}" for _ in range(n)]
+
+
+LONG = " ".join(words(1, 30_000))
+AWKWARD = [
+    (None, None), (None, "some text without an id"), (1, None), (2, ""), (3, " \t\n\x0b\x0c\r"), (4, "one"), (4, "one"),
+    (5, "one"), (6, LONG), (7, LONG), (7, LONG), (8, "ünï cödé 日本 🎉\n\nünï cödé 日本 🎉"), (9, "a" * 5000),
+]
+
+
+def brute_components(nodes, linked):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in linked:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_components(spark):
+    r = random.Random(3)
+    edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(200)]
+    edges += [(1000 + i, 1001 + i) for i in range(150)]  # a chain
+    edges += [(2000, 2001 + i) for i in range(150)] + [(5, 5), (7, None), (None, 8), (9000, 9000)]
+    found = {x.node: x.component for x in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    whole = [(a, b) for a, b in edges if a is not None and b is not None]
+    assert found == brute_components({x for e in whole for x in e}, whole)
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sketch_never_loses_a_repeated_key(spark):
+    draw = np.random.default_rng(1)
+    keys = draw.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    batches = [keys, keys[:700], draw.integers(0, 1 << 63, 500, dtype=np.uint64)]
+    merged = {}
+    for batch in batches:
+        for part in sketch.parts([batch], 20):
+            for row, block, cells in zip(*(part.column(i).to_pylist() for i in range(3))):
+                merged.setdefault((row, block), []).append(cells)
+    rows = [(r, b, bytearray(c)) for (r, b), cells in merged.items() for c in cells]
+    seen = sketch.Seen(spark, spark.createDataFrame(rows, sketch.PARTS), 2, 20)
+    assert seen.test(keys[:700]).all()
+    assert seen.test(keys[700:]).mean() < 0.05
+
+
+def test_odd_sketch_estimates():
+    a = minhash.permutations(300)
+    x = np.random.default_rng(2).integers(0, 1 << 63, 1000, dtype=np.uint64)
+    one = np.zeros(1, np.int64)
+    for shared in (1000, 950, 900, 800):
+        y = np.concatenate([x[:shared], np.random.default_rng(shared).integers(0, 1 << 63, 1000 - shared, dtype=np.uint64)])
+        true = shared / (2000 - shared)
+        p, q = (minhash.odd_sketches(minhash.signature(s, one, a), 1024) for s in (x, y))
+        estimate = minhash.odd_similarity(np.bitwise_count(p ^ q).sum(), 1024, 300)
+        assert abs(estimate - true) < 0.1
+
+
+def test_window_hashes_depend_on_content_only():
+    h = np.random.default_rng(4).integers(0, 1 << 63, 50, dtype=np.uint64)
+    w = window_hashes(np.concatenate([h, h]), 10)
+    assert (w[:41] == w[50:91]).all() and len(np.unique(w[:50])) == 50
+
+
+# --- 3
+
+
+def brute_repeats(rows, window):
+    place = lambda i: float("inf") if i is None else i
+    first = {}
+    split = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
+    for i, ws in split:
+        for s in range(len(ws) - window + 1):
+            key = tuple(ws[s:s + window])
+            first[key] = min(first.get(key, float("inf")), place(i))
+    out = []
+    for i, ws in split:
+        gone = {p for s in range(len(ws) - window + 1) if first[tuple(ws[s:s + window])] < place(i) for p in range(s, s + window)}
+        out.append((i, len(ws), len(gone), " ".join(w for p, w in enumerate(ws) if p not in gone)))
+    return sorted(out, key=str)
+
+
+def test_repeats(spark):
+    passages = [words(i, 70) for i in range(4)]
+    r = random.Random(5)
+    rows = []
+    for i in range(40):
+        ws = words(100 + i, r.randint(0, 120))
+        for _ in range(r.randint(0, 3)):
+            p = r.choice(passages)
+            at = r.randint(0, len(ws))
+            ws[at:at] = p[r.randint(0, 10):r.randint(45, 70)]
+        rows.append((i, "  ".join(ws)))
+    rows += [(100, "a b " * 60), (101, "a b " * 40), (102, rows[3][1]), (None, rows[3][1])] + AWKWARD
+    found = [tuple(x) for x in substrings.remove_repeats(table(spark, rows)).collect()]
+    assert sorted(found, key=str) == brute_repeats(rows, 50)
+    assert substrings.remove_repeats(table(spark, [])).count() == 0
+
+
+# --- 5
+
+
+def shingle_set(text, width):
+    ws = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    ws = re.findall(r"[^\x20\x09-\x0D]+", ws)
+    return {tuple(ws[s:s + width]) for s in range(max(1, len(ws) - width + 1))} if ws else set()
+
+
+def brute_near(rows, width):
+    sets = [(i, shingle_set(t, width)) for i, t in rows]
+    some = [(i, s) for i, s in sets if i is not None and s]
+    linked = [(a, b) for n, (a, x) in enumerate(some) for b, y in some[:n] if 100 * len(x & y) >= 80 * len(x | y)]
+    parts = brute_components({i for i, _ in sets if i is not None}, linked)
+    return sorted(((i, len(s), parts.get(i), i is None or parts[i] == i) for i, s in sets), key=str)
+
+
+def near_rows():
+    r = random.Random(6)
+    rows = []
+    for base in range(12):
+        ws = words(200 + base, r.randint(20, 200))
+        for copy in range(r.randint(1, 30)):
+            own = list(ws)
+            for _ in range(r.randint(0, max(1, len(ws) // 40))):
+                own[r.randrange(len(own))] = f"new{r.randint(0, 99)}"
+            rows.append((1000 - len(rows), " ".join(own).upper() if copy % 5 == 0 else "\n".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [256, 8])
+def test_near_duplicates(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rows = near_rows() + AWKWARD
+    found = [tuple(x)[:4] for x in neardup.near_duplicates(table(spark, rows), shingle=4).collect()]
+    assert sorted(found, key=str) == brute_near(rows, 4)
+
+
+def test_one_of_each(spark):
+    rows = near_rows() + AWKWARD
+    kept = neardup.one_of_each(table(spark, rows))
+    assert kept.columns == SCHEMA.replace(" string", "").replace(" long", "").split(", ")
+    want = {i for i, n, c, k in brute_near(rows, 5) if k and n and i is not None}
+    got = [x.doc_id for x in kept.collect() if x.doc_id is not None and x.text and x.text.strip()]
+    assert sorted(got) == sorted(want)
+    assert neardup.one_of_each(table(spark, [])).count() == 0
+
+
+# --- 9
+
+
+def char_set(line, n):
+    line = line.ljust(n, "\n")
+    return {line[s:s + n] for s in range(len(line) - n + 1)}
+
+
+def test_lines(spark):
+    r = random.Random(7)
+    pool = [" ".join(words(300 + i, r.randint(1, 30))) for i in range(15)]
+    rows = []
+    for i in range(40):
+        own = []
+        for _ in range(r.randint(0, 6)):
+            line = r.choice(pool)
+            if r.random() < 0.5:
+                at = r.randrange(len(line))
+                line = line[:at] + "x" + line[at + 1:]
+            own.append(r.choice(["", " ", "\t"]) + line)
+        rows.append((i, "\n".join(own)))
+    rows += AWKWARD
+    place = lambda i: float("inf") if i is None else i
+    every = sorted({(place(i), t, n, x.strip(" \t\n\x0b\x0c\r")) for i, t in rows for n, x in enumerate((t or "").split("\n"))
+                    if x.strip(" \t\n\x0b\x0c\r")}, key=lambda e: (e[0], e[2]))
+    different = sorted({e[3] for e in every})
+    sets = [char_set(x, 9) for x in different]
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    parts = brute_components(range(len(sets)), linked)
+    first = {}
+    for p, t, n, x in every:
+        first.setdefault(parts[different.index(x)], (p, t, n))
+    stays = set(first.values())
+    want = []
+    for i, t in rows:
+        if t is None:
+            want.append((i, None))
+            continue
+        want.append((i, "\n".join(
+            x for n, x in enumerate(t.split("\n")) if not x.strip(" \t\n\x0b\x0c\r") or (place(i), t, n) in stays)))
+    out = lines.unique_lines(table(spark, rows))
+    assert out.columns == ["doc_id", "text", "n_words", "kept", "component_id", "size", "Text_", "n_lines", "n_removed"]
+    assert sorted([(x.doc_id, x.text) for x in out.collect()], key=str) == sorted(want, key=str)
+    assert lines.unique_lines(table(spark, [])).count() == 0
+
+
+# --- 2
+
+
+def test_mixing(spark):
+    r = random.Random(8)
+    rows = [(i, " ".join(words(i, r.randint(0, 300))), r.choice(["a", "a", "a", "b", "ä", None, "c"])) for i in range(300)]
+    rows += [(None, None, "empty"), (1000, None, None), (5, "x y z", "a"), (5, "x y z", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("x"))
+    found = mixing.mix(docs, block_words=8).collect()
+    again = mixing.mix(docs.repartition(7), block_words=8).collect()
+    assert sorted(found) == sorted(again) if all(x.doc_id is not None for x in found) else sorted(map(str, found)) == sorted(map(str, again))
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    wanted, target = 1.5 * sum(sizes.values()), {}
+    free = set(order)
+    while True:
+        level = (wanted - sum(target.values())) / max(1, sum(weight[s] for s in free))
+        over = {s for s in free if weight[s] * level > 2 * sizes[s]}
+        if not over:
+            break
+        target |= {s: 2 * sizes[s] for s in over}
+        free -= over
+    target |= {s: weight[s] * level for s in free}
+    source = {i: s for i, _, s in rows if i is not None}
+    taken = {}
+    for x in found:
+        assert 0 <= x.taken <= 2 * x["size"]
+        if x.doc_id is not None:
+            s = source[x.doc_id]
+            taken[s] = taken.get(s, 0) + x.taken
+            assert x.source_size == sizes[s] and abs(x.target - target[s]) < 1e-6 * max(1, target[s])
+    for s, n in taken.items():
+        assert abs(n - target[s]) <= 24
+    mixed = mixing.mixed(docs, block_words=8).collect()
+    assert sum(len(x.text.split()) for x in mixed) == sum(x.taken for x in found)
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_quotas_follow_the_highest_quotients(spark):
+    targets = [500.0, 300.0, 77.5, 20.0, 3.0, 0.0]
+    rows = spark.createDataFrame([(f"s{i}", i, t) for i, t in enumerate(targets)], "grp string, place long, target double")
+    found = {}
+    for x in mixing.quotas(rows, 7, shards=3).collect():
+        found.setdefault(x.grp, {})[x.shard] = x.blocks
+    seats = int(sum(targets) / 7 + 0.5)
+    ranked = sorted(((-t / (2 * k + 1), i, k) for i, t in enumerate(targets) if t for k in range(seats)))[:seats]
+    for shard in range(3):
+        mine = ranked[seats * shard // 3:seats * (shard + 1) // 3]
+        for i, t in enumerate(targets):
+            assert found.get(f"s{i}", {}).get(shard, 0) == sum(1 for _, s, _ in mine if s == i)
+
+
+# --- 4
+
+
+def test_quality(spark):
+    rows = AWKWARD + [(20, "the cat of a and b " * 30), (21, " ".join(words(9, 200)) + " the of and to"), (22, "| x " * 60)]
+    for x in quality.judge(table(spark, rows)).collect():
+        ws = re.findall(r"[^\x20\x09-\x0D]+", dict(rows).get(x.doc_id) or "") if x.doc_id is not None else None
+        if ws is None:
+            continue
+        tri = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
+        again = {p for i, t in enumerate(tri) if tri.count(t) > 1 for p in range(i, i + 3)} if len(tri) < 1000 else set()
+        assert x.n_words == len(ws) and x.word_chars == sum(map(len, ws)) and x.n_repeat_words == len(again)
+        assert x.base_failed == (len(ws) < 50 or 100 * len(again) > 50 * len(ws))
+        assert not (x.base_failed and x.kept)
+    kept = {x.doc_id: x.kept for x in quality.judge(table(spark, rows)).collect()}
+    assert kept[21] and not kept[20] and not kept[22]
+    assert quality.judge(table(spark, [])).count() == 0
+
+
+# --- 6
+
+
+def test_audit(spark):
+    rows = [(i, f"http://x/{i}", "<p>" + "y" * (i % 17)) for i in range(2500)] + [(None, None, None)] + [(7, "u", f"{i}") for i in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    hurt = [(i, u, h.replace("<", ">") if i in (3, 1500, 2499) and h.startswith("<") else h) for i, u, h in rows if u] + [(None, None, None)]
+    first = warc.tree(warc.records(pages))
+    assert warc.audit(first, first).count() == 0
+    other = warc.records(spark.createDataFrame(hurt, pages.schema))
+    found = warc.audit(first, warc.tree(other)).join(other, ["segment", "part", "at"]).collect()
+    assert sorted(x.page_id for x in found) == [3, 1500, 2499]
+    part = {(x.segment, x.part) for x in warc.records(pages).collect()}
+    assert len(part) > 3
+    lost = warc.audit(first, warc.tree(warc.records(pages.where("not page_id <=> 2400"))))
+    assert lost.count() == 100  # the record and those that moved after it
+    assert warc.records(pages.limit(0)).count() == 0
+
+
+# --- 7
+
+
+def test_vectors(spark):
+    draw = np.random.default_rng(9)
+    rows, bases = [], draw.normal(size=(30, 24))
+    for i in range(400):
+        x = bases[draw.integers(30)] + draw.normal(size=24) * draw.choice([0.02, 0.2, 1.0])
+        rows.append((i, (x * draw.choice([1, 3])).tolist()))
+    rows += [(500, rows[3][1]), (501, rows[3][1]), (502, None), (503, []), (504, [0.0] * 24), (505, [1.0, None]), (None, rows[3][1]),
+             (506, [float("nan")] * 24), (507, [float("inf")] + [1.0] * 23), (508, [1.0, 2.0]), (509, [2.0, 4.0]), (502, None)]
+    good = [(i, np.array(x, float)) for i, x in rows if i is not None and x and None not in x and np.isfinite(np.array(x, float)).all() and any(x)]
+    linked = [(a, b) for n, (a, x) in enumerate(good) for b, y in good[:n] if len(x) == len(y)
+              and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95]
+    parts = brute_components({i for i, _ in rows if i is not None}, linked)
+    found = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert found.count() == len(rows)
+    for x in found.collect():
+        if x.vec_id is None:
+            assert x.n_links == 0 and x.component_id is None and x.kept
+            continue
+        assert x.n_links == sum(1 for a, b in linked if x.vec_id in (a, b)), x
+        assert x.component_id == parts[x.vec_id] and x.kept == (parts[x.vec_id] == x.vec_id)
+    assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+# --- 10
+
+
+def brute_base(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
+            if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(d) <= 19 and pii.luhn(d):
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t)
+            if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(out)
+
+
+def test_base_spans():
+    r = random.Random(1)
+    for _ in range(20_000):
+        t = "".join(r.choice("1234+@.. -()ab_%é,") for _ in range(r.randint(0, 40)))
+        assert pii.base_spans(t) == brute_base(t), t
+    assert pii.luhn("4685314014376148") and not pii.luhn("4685314014376149")
+
+
+def test_best_segmentation_is_the_best_of_all():
+    weights = pii.Weights()
+    draw = np.random.default_rng(3)
+    weights.span[:] = draw.normal(size=weights.span.shape)
+    weights.after[:] = draw.normal(size=weights.after.shape)
+    text = "call 555-1234 or a@b.c 10.0.0.1 x9"
+    run = next(iter(pii.runs_of("12 345 6@7.8 9")))
+    text = "12 345 6@7.8 9"
+    scores = weights.scores(text, run)
+
+    def every(at, before):
+        if at == len(run):
+            yield 0.0, []
+            return
+        for end in range(at + 1, min(len(run), at + pii.LONGEST) + 1):
+            for kind in range(len(pii.KINDS) + 1):
+                own = weights.after[before, kind] + scores[at, end - 1][1][kind]
+                if np.isfinite(own):
+                    for value, rest in every(end, kind):
+                        yield own + value, ([(at, end - 1, kind)] if kind else []) + rest
+
+    assert weights.best(text, run) == max(every(0, 0), key=lambda w: w[0])[1]
+
+
+def test_personal_data(spark):
+    rows = AWKWARD + [(30 + i, f"mail me at u{i}@mail.example.com or +1 (337) 555-90{i:02} from 10.0.{i}.7 now") for i in range(30)]
+    found = pii.find(table(spark, rows)).collect()
+    assert len(found) == len(rows)
+    for x in found:
+        if x.doc_id and x.doc_id >= 30:
+            assert (x.n_email, x.n_ip, x.n_card, x.n_phone) == (1, 1, 0, 1)
+        assert set(filter(None, x.base.split(","))) <= set(x.spans.split(","))
+    assert pii.find(table(spark, [])).count() == 0
+
+
+# --- 1
+
+
+def toxic_rows():
+    r = random.Random(10)
+    out = []
+    for i in range(400):
+        ws = words(i, r.randint(5, 150))
+        bad = i % 4 == 0
+        if bad:
+            ws[r.randrange(len(ws))] = r.choice(["vilething", "vilepeople", "awful"])
+        out.append((i, " ".join(ws), int(bad)))
+    return out
+
+
+def test_windows_overlap_and_cover():
+    for n in (0, 1, 63, 64, 65, 200, 1000):
+        spans = toxicity.windows_of(n)
+        assert {p for a, b in spans for p in range(a, b)} == set(range(n))
+        assert all(y[0] < x[1] for x, y in zip(spans, spans[1:]))
+
+
+def test_gradients():
+    net = toxicity.Network(np.zeros(1 << toxicity.WORD_BITS, np.float32), np.zeros(1 << toxicity.GRAM_BITS, np.float32))
+    for k in net.p:
+        net.p[k] = net.p[k].astype(np.float64)
+    features = toxicity.inputs_of(["one", "two", "threes"])
+    at, labels, weights = np.array([[1, 2, 3], [2, 1, 0]]), np.array([1.0, 0.0]), np.array([1.0, 2.0])
+
+    def loss():
+        p = toxicity._sigmoid(net.forward(net.gates(net.inputs(*features)), at).astype(np.float64))
+        return -(weights * (labels * np.log(p) + (1 - labels) * np.log(1 - p))).sum() / weights.sum()
+
+    g = net.gradients(features, at, labels, weights)
+    for name, where in (("out", 3), ("look", 2), ("bias", 0), ("in_f", (3, 5)), ("rec_b", (1, 20)), ("add_f", 9)):
+        kept = net.p[name][where]
+        net.p[name][where] = kept + 1e-2
+        up = loss()
+        net.p[name][where] = kept - 1e-2
+        down = loss()
+        net.p[name][where] = kept
+        assert abs((up - down) / 2e-2 - g[name][where]) < 2e-3 + 0.02 * abs(g[name][where]), name
+
+
+def test_toxicity(spark):
+    rows = toxic_rows()
+    docs = table(spark, [(i, t) for i, t, _ in rows] + [(None, None), (900, None), (901, ""), (902, LONG), (902, LONG)])
+    labels = spark.createDataFrame([(i, y, 1) for i, _, y in rows] + [(None, 1, 1), (3, None, 1)], "doc_id long, toxic int, quality int")
+    net = toxicity.train(docs, labels)
+    found = toxicity.score(docs, net).collect()
+    assert len(found) == docs.count() and all(0 <= x.score <= 1 for x in found)
+    held = {i: y for i, _, y in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    right = sum((x.score >= 0.5) == bool(held[x.doc_id]) for x in found if x.doc_id in held)
+    assert right >= 0.9 * len(held)
+    assert {x.doc_id for x in found if x.score == 0} >= {None, 900, 901}
+    left = toxicity.not_toxic(docs, net)
+    assert left.columns == docs.columns
+    assert left.count() == sum(x.score < 0.5 for x in found)
+    assert toxicity.score(docs.limit(0), toxicity.train(docs.limit(0), labels)).count() == 0
