@@ -13,6 +13,8 @@ from gazette.functions.binding import bound
 _WEEKDAY = r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
 _UTC_NAME = r"\s*(?<=[\s\d])(?:GMT|UTC|UT|Z)$"
 _OTHER_ZONE = r"\s+(?!AM$|PM$)[A-Z]{3,5}$"
+_COMMENT = r"\s*\([^()]*\)$"
+_FRACTION = r"(:\d{2})\.\d+"
 _COLON_OFFSET = r"([+-]\d{2}):(\d{2})$"
 
 _USUAL = r"^(?:[A-Z][a-z]{2}, )?\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}$"
@@ -30,6 +32,19 @@ _SHAPES = [
     (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AP]M$", "M/d/yyyy h:mm a"),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$", "d MMMM yyyy H:mm:ss Z"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMMM yyyy H:mm:ss"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4} \d{1,2}:\d{2}:\d{2}$", "MMM d, yyyy H:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4} \d{1,2}:\d{2} [AP]M$", "MMM d, yyyy h:mm a"),
+    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4} \d{1,2}:\d{2} [AP]M$", "MMMM d, yyyy h:mm a"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{1,2}:\d{2}:\d{2} \d{4}$", "MMM d H:mm:ss yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}$", "yyyy/M/d H:mm"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2} [AP]M$", "yyyy-MM-dd h:mm a"),
+    (r"^\d{8}T\d{6} [+-]\d{4}$", "yyyyMMdd'T'HHmmss Z"),
 ]
 
 
@@ -50,7 +65,8 @@ def _instant(raw: Column) -> Column:
 
 
 def _rewritten(raw: Column) -> Column:
-    text = F.regexp_replace(raw, _WEEKDAY, "")
+    text = F.regexp_replace(F.regexp_replace(raw, _COMMENT, ""), _WEEKDAY, "")
+    text = F.regexp_replace(text, _FRACTION, "$1")
     text = F.regexp_replace(text, _UTC_NAME, " +0000")
     text = F.regexp_replace(text, _OTHER_ZONE, "")
     return F.regexp_replace(text, _COLON_OFFSET, "$1$2")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gazette.functions.dates import utc_midnight
 
@@ -70,6 +70,14 @@ def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.drop("_corrupt_record"), bad
 
 
+def missing(df: DataFrame, name: str) -> Column:
+    """Whether a cell holds no value: null, or NaN in a floating-point column."""
+    cell = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return cell.isNull() | F.isnan(cell)
+    return cell.isNull()
+
+
 def with_content(df: DataFrame) -> DataFrame:
     """Rows with a content."""
     return df.na.drop(subset=["content"])
@@ -82,5 +90,5 @@ def with_title(df: DataFrame) -> DataFrame:
 
 def without_null_columns(df: DataFrame) -> DataFrame:
     """Columns that hold a value somewhere (F8); one pass of counts, one row back."""
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
+    counts = df.agg(*[F.count_if(~missing(df, c)).alias(c) for c in df.columns]).first()
     return df.select(*[F.col(f"`{c}`") for c in df.columns if counts[c]])

@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from gazette.functions.text import key_of
+from gazette.operators.filters import missing
 from gazette.session import stored
 
 SUMMARY = (
@@ -37,20 +38,22 @@ def unpivoted(row: DataFrame, names: list[str], value: str) -> DataFrame:
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """Percentage of nulls in every column (A9), all in one pass."""
-    row = df.agg(*[null_share(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+    """Percentage of nulls, NaN among them, in every column (A9), all in one pass."""
+    row = df.agg(*[null_share(missing(df, c)).alias(c) for c in df.columns])
     return unpivoted(row, df.columns, "null_percent")
 
 
 def describe(df: DataFrame) -> DataFrame:
     """Summary statistics, one row per column (A10).
 
-    Text columns have count, unique, top and freq; numeric ones count, mean,
+    Text and boolean columns have count, unique, top and freq; numeric ones count, mean,
     sample standard deviation, minimum, quartiles (interpolated, exact) and
     maximum. Other cells are null, as are array and map columns' but the count.
     The most frequent text is the smallest one of those most frequent.
     """
     spark = df.sparkSession
+    flags = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
+    df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in flags}) if flags else df
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     rows = _describe_numbers(df, numeric) if numeric else {}

@@ -152,7 +152,7 @@ def search(index: DataFrame, queries: DataFrame, top_k: int, metric: str = "cosi
             _block_best(index, asked.filter(group == i).collect(), top_k, metric) for i in range(groups)
         ]
     best = first_per_key(
-        reduce(DataFrame.unionByName, blocks), ["query_id"], [_nearest_first(metric), F.asc("id")], top_k
+        reduce(DataFrame.unionByName, blocks), ["query_id", "namespace"], [_nearest_first(metric), F.asc("id")], top_k
     )
     type_ = queries.schema["query_id"].dataType
     return best.withColumn("query_id", F.col("query_id").cast(type_))

@@ -11,7 +11,7 @@ from gazette.schemas import ARTICLE, ARTICLE_COLUMNS
 from gazette.sinks.articles import read_articles
 from gazette.sinks.export import check_format, write_export
 from gazette.operators.merge import merged_metadata
-from gazette.sources.objects import read_objects
+from gazette.sources.objects import further_keys, read_objects
 
 logger = logging.getLogger(__name__)
 
@@ -23,11 +23,15 @@ def stored_range(
     """Articles stored in a range, metadata laid over them.
 
     `parquet` is this library's article table, `json` a folder of JSON objects
-    taken by their modification time.
+    taken by their modification time; keys that objects have beyond an article's
+    are kept as text.
     """
     if source_format == "json":
-        good, _ = read_objects(spark, src, ARTICLE, start_date, end_date, whole_end_day)
-        return good.select(*ARTICLE_COLUMNS)
+        more = further_keys(spark, src, ARTICLE, start_date, end_date, whole_end_day)
+        names = [f"`{name.replace('`', '``')}`" for name in more]
+        schema = ", ".join([ARTICLE, *(f"{name} string" for name in names)])
+        good, _ = read_objects(spark, src, schema, start_date, end_date, whole_end_day)
+        return good.select(*ARTICLE_COLUMNS, *names)
     if source_format != "parquet":
         raise ValueError(f"unknown source format {source_format!r}")
     rows = read_articles(spark, src, start_date, end_date, whole_end_day)

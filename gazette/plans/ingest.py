@@ -167,7 +167,7 @@ def rejects(messages: DataFrame, read: DataFrame) -> DataFrame:
 
 
 def batch_outcomes(entries: DataFrame, articles: DataFrame, broken: DataFrame) -> DataFrame:
-    """Processed entries, failed pages and unreadable documents, for `feed_metrics`."""
+    """Processed entries (those with a link), failed pages and unreadable documents, for `feed_metrics`."""
     none, one = F.lit(0).alias, F.lit(1).alias
     return (
         entries.select("rss", one("processed"), none("errors"))
@@ -209,7 +209,7 @@ def ingest_batch(
         rejects(unreadable, read).write.mode("overwrite").parquet(f"{stores.rejects}/batch_id={batch_id}")
         moved = moved_cursors(cursors, entries).filter("stored IS NULL OR dt > stored")
         write_cursors(moved, stores.registry, batch_id)
-        results = batch_outcomes(entries, articles, read.filter("broken IS NOT NULL"))
+        results = batch_outcomes(keyed, articles, read.filter("broken IS NOT NULL"))
         write_metrics(results, time.monotonic() - started, stores.metrics, now, batch_id)
     finally:
         read.unpersist()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from gazette.functions.dates import utc_day
 from gazette.functions.text import na_strings_to_null
@@ -42,23 +42,43 @@ def read_objects(
     `LastModified` come along. Files outside the range are left out before any
     is opened.
     """
+    files = _object_files(spark, path, start_date, end_date, whole_end_day)
+    rows = files.withColumn("rows", body_rows(F.col("_corrupt_record"), schema))
+    good, bad = split_by(rows, F.col("rows").isNotNull())
+    return good.select("Key", "LastModified", F.inline("rows")), bad.drop("rows")
+
+
+def _object_files(spark: SparkSession, path: str, *days) -> DataFrame:
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("Key"),
         F.col("_metadata.file_modification_time").alias("LastModified"),
         F.col("value").alias("_corrupt_record"),
     )
-    files = in_range(files, "LastModified", start_date, end_date, whole_end_day)
-    rows = files.withColumn("rows", body_rows(F.col("_corrupt_record"), schema))
-    good, bad = split_by(rows, F.col("rows").isNotNull())
-    return good.select("Key", "LastModified", F.inline("rows")), bad.drop("rows")
+    return in_range(files, "LastModified", *days)
+
+
+def further_keys(
+    spark: SparkSession, path: str, schema: str = ARTICLE, start_date: str | None = None,
+    end_date: str | None = None, whole_end_day: bool = False,
+) -> list[str]:
+    """Keys that objects of a date range have beyond `schema`, in order: one pass, one name each."""
+    body = F.col("_corrupt_record")
+    several = F.coalesce(F.from_json(body, "array<string>"), F.array())
+    parts = F.when(body.rlike(r"^\s*\["), several).otherwise(F.array(body))
+    names = (
+        _object_files(spark, path, start_date, end_date, whole_end_day)
+        .select(F.explode(parts).alias("part")).select(F.explode(F.json_object_keys("part")).alias("name")).distinct()
+    )
+    known = [f.name for f in T.StructType.fromDDL(schema).fields]
+    return sorted(r.name for r in names.where(~F.col("name").isin(known)).collect())
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str = ARTICLE) -> DataFrame:
-    """Rows of a JSON-lines export, unreadable lines in `_corrupt_record` (split by `split_corrupt`)."""
+    """Rows of a JSON-lines export, blank lines left out, unreadable lines in `_corrupt_record` (split by `split_corrupt`)."""
     row = F.from_json(
         "value", f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}
     )
-    return spark.read.text(path).select(row.alias("row")).select("row.*")
+    return spark.read.text(path).where(F.trim("value", F.lit(" \t\r")) != "").select(row.alias("row")).select("row.*")
 
 
 def read_export(spark: SparkSession, path: str, schema: str = ARTICLE_CSV) -> DataFrame | None:
@@ -75,9 +95,15 @@ def read_export(spark: SparkSession, path: str, schema: str = ARTICLE_CSV) -> Da
         return None
     types = {f.name: f.dataType for f in T.StructType.fromDDL(schema).fields}
     cells = na_strings_to_null(raw)
-    return cells.select(
-        *[F.col(f"`{c}`").try_cast(types.get(c, T.StringType())).alias(c) for c in cells.columns]
-    )
+    return cells.select(*[_typed(F.col(f"`{c}`"), types.get(c, T.StringType())).alias(c) for c in cells.columns])
+
+
+def _typed(cell: Column, kind: T.DataType) -> Column:
+    """A cell in its column's type; a whole number may be written as `1731924672.0`, as where a column has gaps."""
+    if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return cell.try_cast(kind)
+    number = cell.try_cast("decimal(38,6)")
+    return F.coalesce(cell.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
 
 
 def read_exports(spark: SparkSession, paths: list[str], schema: str = ARTICLE_CSV) -> list[DataFrame]:

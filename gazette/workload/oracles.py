@@ -300,4 +300,29 @@ SELECT 'all' AS namespace, vec_id::VARCHAR AS id,
     "embedded_documents": r"""
 SELECT doc_id, 64 AS dim, CASE WHEN regexp_matches(text, '[^[:punct:]\s]') THEN 1.0 ELSE 0.0 END::DOUBLE AS length
 FROM documents""",
+    "duplicate_articles": """
+SELECT lpad(doc_id::VARCHAR, 12, '0') AS id,
+       CASE WHEN text IS NULL THEN lpad(doc_id::VARCHAR, 12, '0') ELSE min(lpad(doc_id::VARCHAR, 12, '0')) OVER w END AS first_key,
+       CASE WHEN text IS NULL THEN 1 ELSE count(*) OVER w END AS copies
+FROM documents WINDOW w AS (PARTITION BY text)""",
+    "reliable_feeds": """
+SELECT user_id FROM events GROUP BY user_id
+HAVING avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) <= 0.2""",
+    "pub_dates_free": """
+SELECT event_id, epoch(date_trunc(CASE WHEN event_id % 12 IN (3, 5, 11) THEN 'minute' WHEN event_id % 12 IN (4, 6, 9) THEN 'day'
+                                  ELSE 'second' END, ts))::BIGINT AS "unixTime"
+FROM events""",
+    "csv_float_integers": """SELECT o_orderkey AS "unixTime", o_orderkey AS key FROM orders""",
+    "json_lines_blank": """SELECT doc_id::VARCHAR AS link FROM documents""",
+    "export_union_keys": """
+SELECT doc_id::VARCHAR AS article_id, 'http://x/' || doc_id AS link,
+       CASE WHEN doc_id % 2 = 0 THEN lang END AS category FROM documents""",
+    "null_profile_nan": """
+SELECT 'event_id' AS column_name, round(round(avg((event_id IS NULL)::INT), 4) * 100, 2) AS null_percent FROM events
+UNION ALL
+SELECT 'value', round(round(avg((event_type = 'error' OR value IS NULL)::INT), 4) * 100, 2) FROM events""",
+    "describe_boolean": """
+SELECT 'failed' AS column_name, sum(n)::BIGINT AS "count", count(*) AS "unique",
+       (array_agg(f ORDER BY n DESC, f))[1] AS top, max(n) AS freq
+FROM (SELECT (event_type = 'error')::VARCHAR AS f, count(*) AS n FROM events GROUP BY 1)""",
 }

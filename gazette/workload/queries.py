@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gazette.functions.bodies import body_rows, decoded, object_metadata
 from gazette.functions.dates import object_path, publish_epoch
 from gazette.functions.text import cleaned, key_of, na_to_null, text_or_empty
-from gazette.operators import counts, filters, incremental, merge, profile, registry, vectors
+from gazette.operators import counts, duplicates, filters, incremental, merge, profile, registry, vectors
 from gazette.plans import export, ingest, monthly
 from gazette.session import apply_settings, shared_dir
 from gazette.sinks import articles as article_store, export as export_sink, messages as message_sink
@@ -754,3 +754,86 @@ def embedded_documents(spark, sf_dir):
     docs = vectors.embed(t.table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 64)
     length = F.sqrt(F.aggregate("values", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     return docs.select("doc_id", F.size("values").alias("dim"), F.round(length, 3).alias("length"))
+
+
+@query
+def duplicate_articles(spark, sf_dir):
+    """Documents with the same text, by hash of it."""
+    docs = t.table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("id"), "text")
+    return duplicates.exact_copies(docs, "id", "text")
+
+
+@query
+def reliable_feeds(spark, sf_dir):
+    """Users as feeds, without those of whose events over a fifth are errors."""
+    events = t.table(spark, sf_dir, "events").select("user_id", (F.col("event_type") == "error").alias("failed"))
+    return duplicates.reliable_feeds(
+        events.select("user_id").distinct(), duplicates.error_rates(events, "user_id", "failed"), "user_id", 0.2)
+
+
+FREE_DATES = [
+    ("EEEE, d MMMM yyyy HH:mm:ss 'GMT'", "second"), ("MMM d, yyyy HH:mm:ss", "second"),
+    ("EEE MMM d HH:mm:ss yyyy", "second"), ("yyyy/MM/dd HH:mm", "minute"), ("d-MMM-yyyy", "day"),
+    ("MMMM d, yyyy h:mm a", "minute"), ("d MMMM yyyy", "day"), ("EEE, d MMM yyyy HH:mm:ss '+0000 (UTC)'", "second"),
+    ("yyyyMMdd'T'HHmmss'Z'", "second"), ("M/d/yy", "day"), ("EEE, d MMM yyyy HH:mm:ss'.500 +0000'", "second"),
+    ("yyyy-MM-dd h:mm a", "minute"),
+]
+
+
+@query
+def pub_dates_free(spark, sf_dir):
+    """Publish dates in twelve further forms."""
+    e = t.table(spark, sf_dir, "events")
+    published = F.coalesce(*[
+        F.when(F.col("event_id") % len(FREE_DATES) == i, F.date_format("ts", pattern))
+        for i, (pattern, _) in enumerate(FREE_DATES)])
+    return e.select("event_id", publish_epoch(published, t.NOW).alias("unixTime"))
+
+
+@query
+def csv_float_integers(spark, sf_dir):
+    """Whole numbers written with a fraction, as where a column has gaps."""
+    path = shared_dir(spark, "csv")
+    orders = t.table(spark, sf_dir, "orders")
+    export_sink.write_csv(orders.select(
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")).alias("unixTime"), F.col("o_orderkey").alias("key")), path)
+    return objects.read_export(spark, path, "unixTime bigint, key bigint").select("unixTime", "key")
+
+
+@query
+def json_lines_blank(spark, sf_dir):
+    """A JSON-lines file with blank lines between its rows."""
+    path = shared_dir(spark, "lines")
+    docs = t.table(spark, sf_dir, "documents")
+    line = F.explode(F.array(F.to_json(F.struct(F.col("doc_id").cast("string").alias("link"))), F.lit(""), F.lit("  ")))
+    docs.select(line.alias("value")).write.text(path)
+    good, bad = filters.split_corrupt(objects.read_json_lines(spark, path))
+    return good.select("link").unionByName(bad.select("link"))
+
+
+@query
+def export_union_keys(spark, sf_dir):
+    """JSON objects, some with a key that articles lack, exported with all keys."""
+    path = shared_dir(spark, "objects")
+    docs = t.table(spark, sf_dir, "documents")
+    article = F.struct(
+        F.col("doc_id").cast("string").alias("article_id"), F.concat(F.lit("http://x/"), F.col("doc_id")).alias("link"),
+        F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("category"))
+    bodies = docs.groupBy("source", F.col("doc_id") % 8).agg(F.to_json(F.collect_list(article)).alias("value"))
+    bodies.select("value", "source").repartition("source").write.option("lineSep", "\n").option(
+        "maxRecordsPerFile", 1).partitionBy("source").text(path)
+    return export.stored_range(spark, path, source_format="json").select("article_id", "link", "category")
+
+
+@query
+def null_profile_nan(spark, sf_dir):
+    """NaN counts as missing."""
+    value = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
+    return profile.null_profile(t.table(spark, sf_dir, "events").select("event_id", value.alias("value")))
+
+
+@query
+def describe_boolean(spark, sf_dir):
+    """A10: a boolean column has unique, top and freq."""
+    flags = t.table(spark, sf_dir, "events").select((F.col("event_type") == "error").alias("failed"))
+    return profile.describe(flags).select("column_name", "count", "unique", "top", "freq")
