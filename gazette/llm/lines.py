@@ -111,16 +111,17 @@ def _texts(seen: Seen):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[bytes] = set()
         for batch in batches:
-            new = {}
+            new, held = {}, 0
             for text in texts_of(batch):
                 for _, line in _lines(text):
                     digest = xxhash.xxh3_128_digest(line.encode())
-                    if digest not in known:
+                    if digest not in known and digest not in new:
                         new[digest] = line
-                if sum(map(len, new.values())) > 1 << 22:
+                        held += len(line)
+                if held > 1 << 22:
                     yield _found(new, seen)
                     known.update(new)
-                    new = {}
+                    new, held = {}, 0
             if new:
                 yield _found(new, seen)
             if len(known) > _REMEMBERED:
