@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gazette.llm.common import grouped, in_arrow, kept, numbered, texts_of, window_hashes
 from gazette.llm.graph import components
-from gazette.llm.minhash import Union, band_keys, block_pairs, clusters, link_batch, permutations, signature
+from gazette.llm.minhash import BLOCK, Union, band_keys, block_pairs, clusters, link_batch, permutations, signature
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
 
 CHARS = 9
@@ -138,32 +138,42 @@ def _found(lines: dict[bytes, str], seen: Seen) -> pa.RecordBatch:
 
 
 def _compare(chars: int, threshold: tuple[int, int]):
-    num, den = threshold
-
     def work(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = key[1].as_py(), key[2].as_py()
         table = pa.Table.from_batches(list(batches))
         node, mine = table.column("node").to_pylist(), np.array(table.column("mine").to_pylist())
-        values, starts = shingles(table.column("text").to_pylist(), chars)
-        owner = np.repeat(np.arange(len(node)), np.diff(np.r_[starts, len(values)]))
-        distinct, owner = _distinct(values, owner)
-        ids = np.unique(distinct, return_inverse=True)[1]
-        sizes = np.bincount(owner, minlength=len(node))
-        edges = np.r_[0, np.cumsum(sizes)]
-        links, union = [], Union(len(node))
-        for i in np.flatnonzero(mine == low).tolist():
-            has = np.zeros(len(ids) + 1, bool)
-            has[ids[edges[i]:edges[i + 1]]] = True
-            shared = np.bincount(owner[has[ids]], minlength=len(node))
-            alike = (den * shared >= num * (sizes + sizes[i] - shared)) & (mine == high)
-            for j in np.flatnonzero(alike).tolist():
-                if j != i and union.join(i, j):
-                    links.append((node[i], node[j]))
+        text, members, links = table.column("text").to_pylist(), {}, []
+        for i, cluster in enumerate(table.column("cluster").to_pylist()):
+            members.setdefault(cluster, []).append(i)
+        for rows in members.values():
+            links += [(node[rows[i]], node[rows[j]]) for i, j in _alike(
+                [text[i] for i in rows], mine[rows], low, high, chars, threshold)]
         yield link_batch(links, pa.binary())
 
     return work
 
 
+def _alike(
+    text: list[str], mine: np.ndarray, low: int, high: int, chars: int, threshold: tuple[int, int],
+) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of one cluster's blocks `low` and `high` that reach the threshold."""
+    num, den = threshold
+    values, starts = shingles(text, chars)
+    owner = np.repeat(np.arange(len(text)), np.diff(np.r_[starts, len(values)]))
+    distinct, owner = _distinct(values, owner)
+    ids = np.unique(distinct, return_inverse=True)[1]
+    sizes = np.bincount(owner, minlength=len(text))
+    edges = np.r_[0, np.cumsum(sizes)]
+    links, union = [], Union(len(text))
+    for i in np.flatnonzero(mine == low).tolist():
+        has = np.zeros(len(ids) + 1, bool)
+        has[ids[edges[i]:edges[i + 1]]] = True
+        shared = np.bincount(owner[has[ids]], minlength=len(text))
+        alike = (den * shared >= num * (sizes + sizes[i] - shared)) & (mine == high)
+        links += [(i, j) for j in np.flatnonzero(alike).tolist() if j != i and union.join(i, j)]
+    return links
+
+
 def _distinct(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((values, owner))
     values, owner = values[order], owner[order]
@@ -176,12 +186,16 @@ def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tup
     every = kept(
         in_arrow(rows, _signed(chars), "place long, text_key long, line int, node binary, bands binary"), "lines")
     found = kept(clusters(every.where("octet_length(bands) > 0").select("node", "bands"), BANDS), "line-clusters")
-    bits = bits_for(found.count())
+    n_found = found.count()
+    bits = bits_for(n_found)
     seen = Seen(rows.sparkSession, in_arrow(found.select("node"), _node_sketch(bits), PARTS), 1, bits)
     texts = in_arrow(rows.select("text"), _texts(seen), "node binary, text string").groupBy("node").agg(
         F.first("text").alias("text"))
+    # clusters of one block share groups of about a block's size; a larger one has its own
+    cluster = F.xxhash64("cluster")
+    pack = F.when(F.col("n_blocks") == 1, F.pmod(cluster, F.lit(n_found // BLOCK + 1))).otherwise(cluster)
     links = grouped(
-        block_pairs(found.join(texts, "node")), ["cluster", "low", "high"],
+        block_pairs(found.join(texts, "node").withColumn("pack", pack)), ["pack", "low", "high"],
         _compare(chars, threshold), "a binary, b binary")
     return every, components(kept(links, "line-links"))
 
