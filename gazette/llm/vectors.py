@@ -2,11 +2,11 @@
 
 Vectors are scaled to length 1 and equal ones merged. Coarse centres and, for the
 residuals, codebooks of 8 subspaces are fitted on a bounded sample; every vector is then
-indexed under its nearest centre with its codes and its quantisation error. A vector
-looks into each list whose border with its own lies nearer than a near duplicate would
-reach: at most the distance that the threshold allows, of which a direction drawn at
-random covers the part REACH / sqrt(dimensions) at four standard deviations (all of it
-up to 16 dimensions). In a list, distances to the codes come from one table per query;
+indexed under its nearest centre with its codes and its quantisation error. Two lists
+matter to each other's vectors where their border lies within the distance that the
+threshold allows, whatever the direction, so no link is lost; of two lists, one looks
+into the other, and a link between them counts for both ends. In a list, distances to
+the codes come from one table per query;
 a vector whose distance exceeds the allowed one by more than its quantisation error
 cannot be linked (triangle inequality), and the others are compared by exact cosine in
 double precision. Lists and queries meet in chunks of bounded size; only counts and a
@@ -32,7 +32,6 @@ from gazette.llm.graph import components
 from gazette.llm.minhash import Union, link_batch
 
 THRESHOLD = 0.95
-REACH = 4.0
 #: Vectors the index is fitted on, vectors wanted in a list, most lists, codes of a subspace.
 SAMPLE, LIST_SIZE, MOST_LISTS, SUBSPACES, CODES = 16_384, 512, 4096, 8, 64
 CHUNK = 2048
@@ -78,12 +77,14 @@ class Index:
         return own, np.stack(codes, axis=1).astype(np.uint8), np.sqrt(errors)
 
     def probes(self, x: np.ndarray, own: np.ndarray, within: float) -> np.ndarray:
-        """Which lists each vector must look into."""
+        """Which lists each vector must look into: its own, and of each two lists the one asks the other."""
         far = (self.centres * self.centres).sum(axis=1) - 2 * x @ self.centres.T
         apart = np.sqrt(np.maximum(
             (self.centres * self.centres).sum(axis=1) + (self.centres ** 2).sum(axis=1)[:, None]
             - 2 * self.centres @ self.centres.T, 0))[own]
-        return far - far[np.arange(len(x)), own][:, None] <= 2 * within * apart + 1e-9
+        at, own = np.arange(len(self.centres)), own[:, None]
+        asks = (at == own) | ((at > own) == ((at + own) % 2 == 0))
+        return (far - np.take_along_axis(far, own, axis=1) <= 2 * within * apart + 1e-9) & asks
 
     def distances(self, queries: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
         """Distances of queries to the coded vectors of one list, looked up in a table per query."""
@@ -125,20 +126,18 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         yield dim, rows, np.frombuffer(b"".join(units[i] for i in rows.tolist()), np.float64).reshape(len(rows), dim)
 
 
-def _within(threshold: float, dim: int) -> float:
-    return float(np.sqrt(2 - 2 * threshold) * min(1.0, REACH / np.sqrt(dim)))
-
-
 _PLACED = "node long, many long, dim int, list int, unit binary, codes binary, error double, probes array<int>"
 
 
 def _place(shared, threshold: float):
+    allowed = float(np.sqrt(2 - 2 * threshold))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes = shared.value
         for batch in batches:
             for dim, rows, x in _rows(batch):
                 own, codes, errors = indexes[dim].place(x)
-                probes = indexes[dim].probes(x, own, _within(threshold, dim))
+                probes = indexes[dim].probes(x, own, allowed)
                 at = pa.array(rows)
                 yield pa.record_batch({
                     "node": batch.column("node").take(at), "many": batch.column("many").take(at),
@@ -160,11 +159,12 @@ def _meet(shared, threshold: float):
         node = np.array(table.column("node").to_pylist(), np.int64)
         many = np.array(table.column("many").to_pylist(), np.int64)
         units = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(node), dim)
+        home = np.array(table.column("home").to_pylist(), bool)
         q, y = np.flatnonzero(asks), np.flatnonzero(~asks)
         codes = np.frombuffer(
             b"".join(c for c, a in zip(table.column("codes").to_pylist(), asks) if not a), np.uint8).reshape(len(y), -1)
         reach = allowed + np.array(table.column("error").to_pylist(), np.float64)[y] + 1e-5
-        counts, links, union = np.zeros(len(q), np.int64), [], Union(len(node))
+        counts, links, union = np.zeros(len(node), np.int64), [], Union(len(node))
         for lo in range(0, len(q), 256):
             own = q[lo:lo + 256]
             i, j = np.nonzero(index.distances(units[own], at, codes) <= reach)
@@ -172,14 +172,16 @@ def _meet(shared, threshold: float):
                 a, b = own[i[cut:cut + (1 << 15)]], y[j[cut:cut + (1 << 15)]]
                 linked = (np.einsum("ij,ij->i", units[a], units[b]) >= threshold) & (node[a] != node[b])
                 a, b = a[linked], b[linked]
-                np.add.at(counts, np.searchsorted(q, a), many[b])
+                np.add.at(counts, a, many[b])
+                abroad = ~home[a]  # the vectors of this list do not ask back
+                np.add.at(counts, b[abroad], many[a[abroad]])
                 for u, v in zip(a.tolist(), b.tolist()):
                     if union.join(u, v):
                         links.append((int(node[u]), int(node[v])))
         found = np.flatnonzero(counts)
         forest = link_batch(links, pa.int64())
         yield pa.record_batch({
-            "a": pa.concat_arrays([forest.column("a"), pa.array(node[q[found]])]),
+            "a": pa.concat_arrays([forest.column("a"), pa.array(node[found])]),
             "b": pa.concat_arrays([forest.column("b"), pa.nulls(len(found), pa.int64())]),
             "n": pa.concat_arrays([pa.nulls(len(links), pa.int64()), pa.array(counts[found])])})
 
@@ -217,7 +219,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                                           F.first("unit").alias("unit")), "vector-classes")
     shared = spark.sparkContext.broadcast(_Indexes(fitted(classes)))
     placed = kept(in_arrow(classes.drop("digest"), _place(shared, threshold), _PLACED), "index")
-    asked = placed.select("dim", F.explode("probes").alias("list"), "node", "many", "unit")
+    asked = placed.select(
+        "dim", F.explode("probes").alias("list"), "node", "many", "unit", F.col("list").alias("own")).withColumn(
+        "home", F.col("list") == F.col("own")).drop("own")
     chunks = lambda df, name: df.groupBy("dim", "list").agg(
         F.ceil(F.count("*") / CHUNK).cast("int").alias(name))
     lists = kept(chunks(asked, "n_asks").join(chunks(placed, "n_held"), ["dim", "list"]), "list-chunks")
@@ -226,9 +230,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nothing = [F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error")]
     shown = ["dim", "list", "ask", "held", "node", "many", "unit"]
     asks = asked.join(lists, ["dim", "list"]).withColumn("ask", own("n_asks")).withColumn("held", all_of("n_held")).select(
-        *shown, F.lit(True).alias("asks"), *nothing)
+        *shown, "home", F.lit(True).alias("asks"), *nothing)
     held = placed.join(lists, ["dim", "list"]).withColumn("held", own("n_held")).withColumn("ask", all_of("n_asks")).select(
-        *shown, F.lit(False).alias("asks"), "codes", "error")
+        *shown, F.lit(True).alias("home"), F.lit(False).alias("asks"), "codes", "error")
     found = kept(grouped(
         asks.unionByName(held), ["dim", "list", "ask", "held"], _meet(shared, threshold), "a long, b long, n long"),
         "vector-links")

@@ -337,6 +337,27 @@ def test_vectors(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("rank", [2, 8, 64])
+def test_vectors_find_every_link_over_many_lists(spark, monkeypatch, rank):
+    monkeypatch.setattr(vectors, "LIST_SIZE", 32)
+    draw = np.random.default_rng(11)
+    inside = np.linalg.qr(draw.normal(size=(64, rank)))[0].T
+    x = draw.normal(size=(700, rank)) @ inside
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    step = draw.normal(size=(700, rank)) @ inside
+    step -= (step * x).sum(axis=1)[:, None] * x
+    step /= np.linalg.norm(step, axis=1)[:, None]
+    near = 0.952 * x + np.sqrt(1 - 0.952 ** 2) * step
+    every = np.concatenate([x, near])
+    alike = every @ every.T >= 0.95
+    np.fill_diagonal(alike, False)
+    assert np.abs(every @ every.T - 0.95).min() > 1e-9
+    found = vectors.near_vectors(spark.createDataFrame(list(enumerate(every.tolist())), "vec_id long, embedding array<double>"))
+    parts = brute_components(range(len(every)), np.argwhere(alike).tolist())
+    for r in found.collect():
+        assert r.n_links == alike[r.vec_id].sum() and r.component_id == parts[r.vec_id], r
+
+
 # --- 10
 
 
