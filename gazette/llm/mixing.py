@@ -4,9 +4,11 @@ Every source's words, its documents in a seeded order, are cut into equal blocks
 targets share out what is wanted by weight, a source's excess over twice its size going
 to the others. The seats of the mix, one block each, go to the sources by the
 Sainte-Lague rule (the next seat to the highest target / (2 k + 1)), shard after shard,
-so each shard has integer quotas. A source then takes whole passes over its blocks and,
-for the rest, a seeded selection by a permutation of its block numbers, so nothing is
-drawn or ranked.
+so each shard has integer quotas. Sources whose target is below FINE blocks share seats
+of one word among themselves instead, so that no source is a block off a target of a few
+words. A source then takes whole passes over its blocks and,
+for the rest, a seeded selection by a permutation of its block numbers (a rotation where
+blocks are single words, which keeps them in a run), so nothing is drawn or ranked.
 
 Sums run first per bucket of a source, so a source that holds most rows is spread over
 many tasks. One row for each source is all that is ranked as a whole.
@@ -27,6 +29,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 64
+#: A source wanted for fewer blocks than this is counted in words.
+FINE = 64
 SHARDS = 8
 SEED = 20241118
 #: Blocks are made larger beyond so many, so that block arithmetic fits 64 bits.
@@ -97,21 +101,22 @@ def quotas(table: DataFrame, block: int, shards: int = SHARDS) -> DataFrame:
 
 def _times(j: Column) -> Column:
     """How often block j of a source is taken."""
-    p = F.when(F.col("n_blocks") % _PRIMES[0] != 0, F.lit(_PRIMES[0])).otherwise(F.lit(_PRIMES[1]))
+    p = F.when(F.col("block") == 1, F.lit(1)).when(
+        F.col("n_blocks") % _PRIMES[0] != 0, F.lit(_PRIMES[0])).otherwise(F.lit(_PRIMES[1]))
     moved = (j * (p % F.col("n_blocks")) + F.col("shift")) % F.col("n_blocks")
     return F.floor(F.col("quota") / F.col("n_blocks")) + F.when(
         moved < F.col("quota") % F.col("n_blocks"), 1).otherwise(0)
 
 
-def _blocks_of(block: int) -> Column:
-    return F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))
+def _blocks_of() -> Column:
+    return F.sequence(F.expr("start div block"), F.expr("(start + size - 1) div block"))
 
 
 def planned(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, block_words: int = BLOCK_WORDS,
     shards: int = SHARDS, seed: int = SEED,
-) -> tuple[DataFrame, int]:
-    """All columns of `docs` as c0, c1, ... with size, source_size, target, start, quota, n_blocks, shift; the block size."""
+) -> DataFrame:
+    """All columns of `docs` as c0, c1, ... with size, source_size, target, start, block, quota, n_blocks, shift."""
     plain, at = numbered(docs)
     source = F.col(at("source")).cast("string") if at("source") else F.lit(None).cast("string")
     n_rows = plain.count()
@@ -126,8 +131,11 @@ def planned(
     table = kept(table, "targets")
     block = max(block_words, (table.agg(F.sum("target")).first()[0] or 0) // _MOST_BLOCKS + 1)
     block = int(block)
-    seats = quotas(table, block, shards).groupBy("grp").agg(F.sum("blocks").alias("quota"))
-    n_blocks = F.ceil(F.col("source_size") / block)
+    fine = F.col("target") < FINE * block
+    seats = quotas(table.where(~fine), block, shards).unionByName(quotas(table.where(fine), 1, shards))
+    seats = seats.groupBy("grp").agg(F.sum("blocks").alias("quota"))
+    table = table.withColumn("block", F.when(fine, 1).otherwise(block).cast("long"))
+    n_blocks = F.ceil(F.col("source_size") / F.col("block"))
     table = kept(
         table.join(seats, "grp", "left").withColumn("n_blocks", n_blocks)
         .withColumn("quota", F.least(F.coalesce("quota", F.lit(0)), MOST * n_blocks))
@@ -136,12 +144,12 @@ def planned(
     ahead = Window.partitionBy("grp").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     places = kept(
         buckets.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-        .join(table.select("grp", "source_size", "target", "quota", "n_blocks", "shift"), "grp")
+        .join(table.select("grp", "source_size", "target", "block", "quota", "n_blocks", "shift"), "grp")
         .drop("source", "n"), "places")
     inside = Window.partitionBy("grp", "bucket").orderBy("drawn", at("doc_id")).rowsBetween(
         Window.unboundedPreceding, -1)
     return rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
-        places, ["grp", "bucket"]).withColumn("start", F.col("ahead") + F.col("inside")), block
+        places, ["grp", "bucket"]).withColumn("start", F.col("ahead") + F.col("inside"))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
@@ -149,11 +157,11 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     _, at = numbered(docs)
     names = [n for n in (at("doc_id"), at("text"), at("source")) if n]
     lean = numbered(docs)[0].select(*[F.col(n).alias(k) for n, k in zip(names, ("doc_id", "text", "source"))])
-    rows, block = planned(lean, **how)
-    overlap = lambda j: (F.least(F.col("start") + F.col("size"), (j + 1) * block)
-                         - F.greatest(F.col("start"), j * block))
+    rows = planned(lean, **how)
+    overlap = lambda j: (F.least(F.col("start") + F.col("size"), (j + 1) * F.col("block"))
+                         - F.greatest(F.col("start"), j * F.col("block")))
     taken = F.when(F.col("size") > 0, F.aggregate(
-        _blocks_of(block), F.lit(0).cast("long"), lambda a, j: a + overlap(j) * _times(j))).otherwise(0)
+        _blocks_of(), F.lit(0).cast("long"), lambda a, j: a + overlap(j) * _times(j))).otherwise(0)
     return rows.select(
         F.col("c0").cast("long").alias("doc_id"), "size", "source_size", "target", taken.cast("long").alias("taken"))
 
@@ -164,11 +172,11 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     A pass that takes all words has the text as it is; one that takes some has these
     words joined by one space. Documents of which nothing is taken are left out.
     """
-    rows, block = planned(docs, **how)
+    rows = planned(docs, **how)
     _, at = numbered(docs)
     ws = words()
-    turn = lambda i: F.get("turns", F.floor((F.col("start") + i) / block) - F.floor(F.col("start") / block))
-    rows = rows.where("size > 0").withColumn("turns", F.transform(_blocks_of(block), _times))
+    turn = lambda i: F.get("turns", F.floor((F.col("start") + i) / F.col("block")) - F.floor(F.col("start") / F.col("block")))
+    rows = rows.where("size > 0").withColumn("turns", F.transform(_blocks_of(), _times))
     passes = rows.withColumn("pass", F.explode(F.expr(
         "case when array_max(turns) > 0 then sequence(1L, array_max(turns)) end")))
     whole = F.array_min("turns") >= F.col("pass")

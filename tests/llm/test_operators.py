@@ -259,6 +259,19 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_meets_the_targets_of_tiny_sources(spark):
+    rows = [(0, " ".join(words(1, 40_000)), "a"), (1, " ".join(words(2, 40_000)), "b")]
+    rows += [(10 + n, " ".join(words(n, n)), f"tiny{n}") for n in (1, 5, 30, 63, 65, 100)]
+    rows += [(200 + i, "one two", "parts") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source, taken, target = {i: s for i, _, s in rows}, {}, {}
+    for x in mixing.mix(docs).collect():
+        s = source[x.doc_id]
+        taken[s], target[s] = taken.get(s, 0) + x.taken, x.target
+    for s in taken:
+        assert abs(taken[s] - target[s]) <= (64 if s in ("a", "b") else 1), (s, taken[s], target[s])
+
+
 def test_quotas_follow_the_highest_quotients(spark):
     targets = [500.0, 300.0, 77.5, 20.0, 3.0, 0.0]
     rows = spark.createDataFrame([(f"s{i}", i, t) for i, t in enumerate(targets)], "grp string, place long, target double")
