@@ -3,7 +3,8 @@
 A text is cut at white space. Only pieces with a digit or an @ can belong to an entity,
 so the model looks at the runs of such pieces; every other piece is certainly outside
 and separates them, which makes the decoding of a run exact for the text. In a run,
-every span of up to four pieces is a candidate segment, scored as a whole for each kind
+every span of up to 19 pieces and 19 digits (the most that a base kind has, typed digit by
+digit) is a candidate segment, as is every single piece, scored as a whole for each kind
 (its shape, its digits, its marks, how it begins and ends) plus the kind of the segment
 before it; dynamic programming chooses boundaries and kinds together. The weights are
 learned from runs labelled by the base patterns, of which a bounded sample is taken.
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from gazette.llm.common import in_arrow, pick
 
 KINDS = ("email", "ip", "card", "phone")
-LONGEST = 4
+#: Most pieces of a segment, and most digits of one of several pieces.
+LONGEST = MOST_DIGITS = 19
 #: Runs in the sample that the weights are learned from, and the most pieces of one.
 SAMPLE_RUNS, SAMPLE_PIECES = 3000, 24
 BUCKETS = 1 << 12
@@ -140,9 +142,12 @@ class Weights:
         self.after = np.zeros((len(KINDS) + 1, len(KINDS) + 1))
 
     def scores(self, text: str, run: list[tuple[int, int]]) -> dict[tuple[int, int], tuple[list[int], np.ndarray]]:
-        out = {}
+        out, n_digits = {}, [0, *accumulate(len(_digits(text[a:b])) for a, b in run)]
         for i in range(len(run)):
             for j in range(i, min(len(run), i + LONGEST)):
+                if j > i and n_digits[j + 1] - n_digits[i] > MOST_DIGITS:
+                    out[i, j] = ([], np.full(len(KINDS) + 1, -np.inf))
+                    continue
                 f = features(text, run, i, j)
                 s = self.span[:, f].sum(axis=1)
                 if j > i:
@@ -216,10 +221,14 @@ def _labelled(text: str) -> Iterator[tuple[list[tuple[int, int]], list[tuple[int
             continue
         for start, kind, end in spans[bisect_left(starts, run[0][0] - 1):bisect_left(starts, run[-1][1])]:
             inside = [p for p, (a, b) in enumerate(run) if a < end and start < b]
-            if inside and inside[0] >= at and len(inside) <= LONGEST:
+            if len(inside) > 1 and (len(inside) > LONGEST or len(
+                    _digits(text[run[inside[0]][0]:run[inside[-1]][1]])) > MOST_DIGITS):
+                break  # no segment can be this span: the run teaches nothing
+            if inside and inside[0] >= at:
                 gold.append((inside[0], inside[-1], kind + 1))
                 at = inside[-1] + 1
-        yield run, gold
+        else:
+            yield run, gold
 
 
 def _cases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -419,6 +419,23 @@ def test_best_segmentation_is_the_best_of_all():
     assert weights.best(text, run) == max(every(0, 0), key=lambda w: w[0])[1]
 
 
+def test_numbers_in_many_groups_are_one_span(spark):
+    text = "call +33 6 12 34 56 78 now"
+    assert [gold for _, gold in pii._labelled(text)] == [[(0, 5, 4)]]
+    digits = "4 6 8 5 3 1 4 0 1 4 3 7 6 1 4 8"
+    assert [gold for _, gold in pii._labelled(f"card {digits} ok")] == [[(0, 15, 3)]]
+    asked = "call 06 12 34 56 78 now"
+    run, weights = next(iter(pii.runs_of(asked))), pii.Weights()
+    for f in pii.features(asked, run, 0, 4):
+        weights.span[4, f] = 1.0
+    for f in pii.features(asked, run, 0, 0):
+        weights.span[4, f] = 0.0
+    assert weights.best(asked, run) == [(0, 4, 4)]
+    many = "1234 " * 12
+    run = next(iter(pii.runs_of(many)))
+    assert all(b - a < 5 for a, b, _ in pii.Weights().best(many, run))
+
+
 def test_personal_data(spark):
     rows = AWKWARD + [(30 + i, f"mail me at u{i}@mail.example.com or +1 (337) 555-90{i:02} from 10.0.{i}.7 now") for i in range(30)]
     found = pii.find(table(spark, rows)).collect()
