@@ -4,12 +4,14 @@ A segment holds a bounded number of records in order, each with its offset. The
 a record is the hash of its offset, length and bytes' hash; each node above hashes the
 hashes of up to FANOUT children in order and stands for one range of offsets. Two
 replicas are compared by the roots of their segments; from a segment that differs, the
-children of differing nodes are compared, level by level, down to the records. A record
-that one replica lacks, or that moved, differs like one whose bytes changed.
+children of differing nodes are compared, level by level, down to the records. There, a
+record that one replica lacks, or that moved, differs like one whose bytes changed;
+`differences` aligns the records of differing segments by name and tells these apart.
 
-Rows: a page that repeats in id, address and content is one record. Pages without an id
+Rows: a record for each page; pages that repeat in id, address and content are numbered
+as copies, so a lost or an added one shows. Pages without an id
 form segments of their own; null texts are empty. Where more than SEGMENT records fall
-to one segment, it is split by a hash of the record.
+to one segment, it is split by a hash of the record and its copy number.
 """
 
 from __future__ import annotations
@@ -34,21 +36,26 @@ def record(uri: Column, name: Column, payload: Column) -> Column:
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """segment, part, at, page_id, start, length and sha256 of every record of one replica, in order."""
+    """segment, part, at, page_id, name, copy, start, length and sha256 of every record of one replica, in order."""
     rows = pick(pages, page_id="long", url="string", html="string")
     url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
     name = F.sha2(F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("")), url), 256)
     text = record(url, name, html)
-    leaves = kept(rows.select(
+    different = rows.select(
         F.coalesce(F.floor(F.col("page_id") / SEGMENT), F.lit(-1)).alias("segment"), "page_id", name.alias("name"),
-        F.octet_length(text).cast("long").alias("length"), F.sha2(text, 256).alias("sha256")).distinct(), "records")
+        F.octet_length(text).cast("long").alias("length"), F.sha2(text, 256).alias("sha256"),
+    ).groupBy("segment", "page_id", "name", "length", "sha256").agg(F.count("*").alias("n"))
+    # many copies of one page are numbered by several tasks
+    lots = different.withColumn("copy", F.explode(F.expr(f"sequence(0L, n - 1, {SEGMENT}L)"))).repartition("name", "copy")
+    leaves = kept(lots.withColumn(
+        "copy", F.explode(F.expr(f"sequence(copy, least(copy + {SEGMENT}, n) - 1)"))).drop("n"), "records")
     parts = leaves.groupBy("segment").agg(F.ceil(F.count("*") / SEGMENT).alias("n_parts"))
-    order = Window.partitionBy("segment", "part").orderBy("page_id", "name", "sha256")
+    order = Window.partitionBy("segment", "part").orderBy("page_id", "name", "sha256", "copy")
     return (
         leaves.join(kept(parts, "segments"), "segment")
-        .withColumn("part", F.pmod(F.xxhash64("name", "sha256"), "n_parts"))
+        .withColumn("part", F.pmod(F.pmod(F.xxhash64("name", "sha256"), "n_parts") + F.col("copy"), "n_parts"))
         .select(
-            "segment", "part", (F.row_number().over(order) - 1).cast("long").alias("at"), "page_id",
+            "segment", "part", (F.row_number().over(order) - 1).cast("long").alias("at"), "page_id", "name", "copy",
             (F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")).alias("start"),
             "length", "sha256"))
 
@@ -80,3 +87,29 @@ def audit(first: list[DataFrame], second: list[DataFrame]) -> DataFrame:
         differing = kept(
             mine.join(other, place, "full").where(~F.col("hash").eqNullSafe(F.col("other"))).select(*place), "differing")
     return differing
+
+
+def differences(first: tuple[DataFrame, list[DataFrame]], second: tuple[DataFrame, list[DataFrame]]) -> DataFrame:
+    """What became of the records of differing segments: `changed`, `moved`, `missing` or `extra` in the second.
+
+    Each replica is its records and its tree. A record with equal bytes at the same place
+    is left out; those without an equal are paired within their name, in order.
+    """
+    (mine, tree_), (other, other_tree) = first, second
+    roots = tree_[-1].join(other_tree[-1].withColumnRenamed("hash", "other"), ["segment", "part", "at"], "full")
+    segments = kept(roots.where(~F.col("hash").eqNullSafe(F.col("other"))).select("segment").distinct(), "segments")
+    own = ["page_id", "part", "start", "length"]
+    keys = ["segment", "name", "sha256", "copy"]
+    mine = mine.join(segments, "segment", "left_semi").select(*keys, *own)
+    other = other.join(segments, "segment", "left_semi").select(
+        *keys, *[F.col(c).alias(f"other_{c}") for c in own])
+    both = kept(mine.join(other, keys, "full"), "aligned")
+    moved = both.where("part <> other_part or start <> other_start").withColumn("state", F.lit("moved"))
+    nth = F.row_number().over(Window.partitionBy("segment", "name").orderBy("sha256", "copy"))
+    gone = both.where("other_part is null").select("segment", "name", nth.alias("nth"), *own)
+    came = both.where("part is null").select("segment", "name", nth.alias("nth"), *[f"other_{c}" for c in own])
+    state = F.when(F.col("other_part").isNull(), "missing").when(F.col("part").isNull(), "extra").otherwise("changed")
+    shown = ["segment", F.coalesce("page_id", "other_page_id").alias("page_id"), "name", "state", "start", "other_start",
+             "length", "other_length"]
+    return moved.select(*shown).unionByName(
+        gone.join(came, ["segment", "name", "nth"], "full").withColumn("state", state).select(*shown))

@@ -324,6 +324,24 @@ def test_audit(spark):
     assert warc.records(pages.limit(0)).count() == 0
 
 
+def test_differences_tell_what_happened(spark):
+    rows = [(i, f"http://x/{i}", f"page {i} " + "y" * (i % 17)) for i in range(3000)]
+    copies = [(5, "http://x/5", rows[5][2])] * 2 + [(9, "http://x/9", "other words")]
+    schema = "page_id long, url string, html string"
+    mine = warc.records(spark.createDataFrame(rows + copies, schema))
+    assert mine.count() == 3003
+    hurt = [(i, u, h[:3] if i == 1500 else h) for i, u, h in rows if i != 40] + copies[1:] + [(2600, "http://new", "z")]
+    other = warc.records(spark.createDataFrame(hurt, schema))
+    trees = warc.tree(mine), warc.tree(other)
+    found = warc.differences((mine, trees[0]), (other, trees[1])).collect()
+    states = {}
+    for x in found:
+        states.setdefault(x.state, set()).add(x.page_id)
+    assert {k: v for k, v in states.items() if k != "moved"} == {"missing": {5, 40}, "changed": {1500}, "extra": {2600}}
+    assert states["moved"] and all(x.length == x.other_length and x.start != x.other_start for x in found if x.state == "moved")
+    assert warc.differences((mine, trees[0]), (mine, trees[0])).count() == 0
+
+
 # --- 7
 
 
