@@ -4,8 +4,8 @@ A word (\w+, lower-cased) enters as a trained vector of its hash, the mean of tr
 vectors of its character five-grams, and two statistics of the training sample: how far
 the word, and the most telling of its five-grams, lean to toxic documents. Two gated
 recurrent layers of 8 units read a window of 64 words in both directions, attention pools
-their states, and a linear layer gives the window's logit. Windows overlap by 12
-words and all of them are scored; a document's score is that of its worst window. Training is
+their states, and a linear layer gives the window's logit. Windows overlap by half, so
+that a passage of up to 33 words is whole in one, and all of them are scored; a document's score is that of its worst window. Training is
 plain numpy on the driver, on a bounded sample of labelled documents; a toxic document
 teaches through the window that scores highest, a clean one through its worst and one
 other.
@@ -30,7 +30,7 @@ from gazette.llm.common import in_arrow, numbered, pick
 
 #: Labelled documents in the sample, toxic and clean, and the most characters of one.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 4000
-WINDOW, STEP = 64, 52
+WINDOW, STEP = 64, 32
 HIDDEN = 8
 WORD_BITS, GRAM_BITS, GRAM = 15, 16, 5
 WORD_DIM, GRAM_DIM = 5, 5

@@ -487,6 +487,16 @@ def test_windows_overlap_and_cover():
         assert all(y[0] < x[1] for x, y in zip(spans, spans[1:]))
 
 
+def test_a_passage_is_whole_in_a_window_at_any_offset():
+    for n in (100, 200, 333):
+        for at in range(n - 32):
+            assert any(a <= at and at + 33 <= b for a, b in toxicity.windows_of(n)), (n, at)
+    rows = toxic_rows()
+    scorer = toxicity.Scorer(toxicity.fit([t for _, t, _ in rows], [y for _, _, y in rows]))
+    passage, rest = ["vilething", *words(50, 28), "vilepeople"], words(51, 170)
+    assert min(scorer(" ".join(rest[:at] + passage + rest[at:]) for at in range(171))) >= 0.5
+
+
 def test_gradients():
     net = toxicity.Network(np.zeros(1 << toxicity.WORD_BITS, np.float32), np.zeros(1 << toxicity.GRAM_BITS, np.float32))
     for k in net.p:
