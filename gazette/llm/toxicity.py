@@ -6,7 +6,8 @@ the word, and the most telling of its five-grams, lean to toxic documents. Two g
 recurrent layers of 8 units read a window of 64 words in both directions, attention pools
 their states, and a linear layer gives the window's logit. Windows overlap by half, so
 that a passage of up to 33 words is whole in one, and all of them are scored; a document's score is that of its worst window. Training is
-plain numpy on the driver, on a bounded sample of labelled documents; a toxic document
+plain numpy on the driver, on a sample of labelled documents of all lengths, bounded in
+documents and in windows: all windows of fewer documents where these are long. A toxic document
 teaches through the window that scores highest, a clean one through its worst and one
 other.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,9 @@ from pyspark.sql import functions as F
 
 from gazette.llm.common import in_arrow, numbered, pick
 
-#: Labelled documents in the sample, toxic and clean, and the most characters of one.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 4000
+#: Labelled documents in the sample, toxic and clean, and the most windows of either; of any length.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
+SAMPLE_WINDOWS = {1: 20_000, 0: 40_000}
 WINDOW, STEP = 64, 32
 HIDDEN = 8
 WORD_BITS, GRAM_BITS, GRAM = 15, 16, 5
@@ -305,13 +308,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     """A network from a sample of the labelled documents that are not held out, drawn by hash of the id."""
     known = pick(labels, doc_id="long", toxic="int").where("doc_id is not null and toxic is not null")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = pick(docs, doc_id="long", text="string").where(F.length("text").between(1, SAMPLE_CHARS)).join(known, "doc_id")
+    rows = pick(docs, doc_id="long", text="string").where("length(text) > 0").join(known, "doc_id")
+    order = F.struct(F.xxhash64("doc_id").alias("drawn"), "doc_id", F.xxhash64("text").alias("text_key"))
+    n_words = F.size(F.split("text", r"(?U)\W+"))
+    rows = rows.withColumn("order", order).withColumn(
+        "n", F.greatest(F.ceil((n_words - WINDOW) / F.lit(STEP)) + 1, F.lit(1)).cast("long"))
     texts, toxic = [], []
     for label, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
-        drawn = rows.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most)
-        some = [r.text for r in drawn.select("text").collect()]
-        texts += some
-        toxic += [label] * len(some)
+        bound = SAMPLE_WINDOWS[label]
+        some = rows.where((F.col("toxic") == label) & (F.col("n") <= bound))
+        # texts are fetched only once it is known how many fit
+        lean = some.select("order", "n").orderBy("order").limit(most).collect()
+        fits = [r for r, so_far in zip(lean, accumulate(r.n for r in lean)) if so_far <= bound]
+        if not fits:
+            continue
+        last = F.struct(*[F.lit(v).cast("long").alias(k) for k, v in fits[-1].order.asDict().items()])
+        drawn = some.where(F.col("order") <= last).orderBy("order").limit(len(fits)).select("text").collect()
+        texts += [r.text for r in drawn]
+        toxic += [label] * len(drawn)
     return fit(texts, toxic)
 
 

@@ -497,6 +497,21 @@ def test_a_passage_is_whole_in_a_window_at_any_offset():
     assert min(scorer(" ".join(rest[:at] + passage + rest[at:]) for at in range(171))) >= 0.5
 
 
+def test_the_sample_has_documents_of_all_lengths(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: drawn.extend(zip(map(len, texts), toxic)))
+    rows = [(i, " ".join(words(i, 2000 if i % 3 == 0 else 50))) for i in range(90)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    toxicity.train(table(spark, rows), labels)
+    used = [(len(t), i % 2) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(drawn) == sorted(used) and max(used)[0] > 4000
+    monkeypatch.setattr(toxicity, "SAMPLE_WINDOWS", {1: 200, 0: 400})
+    drawn.clear()
+    toxicity.train(table(spark, rows), labels)
+    windows = [sum(len(toxicity.windows_of(n // 6)) for n, y in drawn if y == label) for label in (0, 1)]
+    assert 200 < windows[0] <= 400 and 100 < windows[1] <= 200 and max(drawn)[0] > 4000
+
+
 def test_gradients():
     net = toxicity.Network(np.zeros(1 << toxicity.WORD_BITS, np.float32), np.zeros(1 << toxicity.GRAM_BITS, np.float32))
     for k in net.p:
