@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import lines, mixing, neardup, pieces, pii, quality, substrings, toxicity, vectors, warc
+from gazette.llm import lines, manifest, mixing, neardup, pieces, pii, quality, substrings, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -296,3 +296,84 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component AS component_id, vec_id = component AS kept
 FROM embeddings JOIN components ON node = vec_id LEFT JOIN counts ON a = vec_id
 """
+
+
+@_query("op12_dataset_manifest")
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and the root that its row gives after tampering."""
+    proven = manifest.verify(_table(spark, sf_dir, "documents"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
+def _crc32_sql(text: str) -> str:
+    """The checksum of a text of ASCII characters, bit by bit."""
+    byte = "xor(crc, ch)"
+    for _ in range(8):
+        byte = f"list_transform([{byte}], lambda x: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)[1]"
+    return f"""xor(list_reduce([ord(c)::UBIGINT FOR c IN string_split({text}, '')],
+        lambda crc, ch: {byte}, 4294967295::UBIGINT), 4294967295::UBIGINT)"""
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """Levels and proof steps of the trees of table `name`_0 (tree, at, h)."""
+    made = [f"{name}_n AS (SELECT tree, count(*) AS n FROM {name}_0 GROUP BY tree)"]
+    for k in range(1, levels + 1):
+        made.append(f"""{name}_{k} AS (
+    SELECT tree, "at" // 8 AS "at", sha256(string_agg(h, '' ORDER BY "at")) AS h
+    FROM {name}_{k - 1} JOIN {name}_n USING (tree) WHERE n > {8 ** (k - 1)} GROUP BY tree, "at" // 8)""")
+    made += [f"""{name}_runs_{k} AS (
+    SELECT tree, "at" // 8 AS run, list(h ORDER BY "at") AS hs FROM {name}_{k} GROUP BY tree, "at" // 8)"""
+             for k in range(levels)]
+    made.append(f"{name}_roots AS (" + " UNION ALL ".join(
+        f"SELECT tree, h AS root FROM {name}_{k} JOIN {name}_n USING (tree) WHERE n <= {8 ** k}"
+        + (f" AND n > {8 ** (k - 1)}" if k else "") for k in range(levels + 1)) + ")")
+    steps = ", ".join(f"""
+        CASE WHEN n > {8 ** k} THEN array_to_string(r{k}.hs[1:("at" // {8 ** k}) % 8], '') END AS before_{k},
+        CASE WHEN n > {8 ** k} THEN array_to_string(r{k}.hs[("at" // {8 ** k}) % 8 + 2:], '') END AS after_{k}"""
+                      for k in range(levels))
+    joins = " ".join(f"""
+        LEFT JOIN {name}_runs_{k} r{k} ON r{k}.tree = z.tree AND r{k}.run = "at" // {8 ** (k + 1)}""" for k in range(levels))
+    made.append(f"{name}_paths AS (SELECT z.*, {steps} FROM {name}_0 z JOIN {name}_n m ON m.tree = z.tree {joins})")
+    return ",\n".join(made)
+
+
+def _fold_sql(leaf: str, levels: int) -> str:
+    for k in range(levels):
+        leaf = (f"list_transform([{leaf}], lambda x: CASE WHEN before_{k} IS NULL THEN x "
+                f"ELSE sha256(before_{k} || x || after_{k}) END)[1]")
+    return leaf
+
+
+_DOC_LEVELS, _LANG_LEVELS = 7, 3
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode({c}))::VARCHAR || ':' || {c}, '-')"
+        for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)) + ")"
+
+
+def _steps_sql(levels: int) -> str:
+    return " || ".join(f"coalesce(before_{k}, '') || coalesce(after_{k}, '')" for k in range(levels))
+
+
+ORACLES["op12_dataset_manifest"] = f"""
+WITH leaves AS (
+    SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, {_leaf_sql("text")} AS h,
+           CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf_sql(_LOWER_SQL)} ELSE {_leaf_sql("text")} END AS seen
+    FROM documents),
+docs_0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS "at" FROM leaves),
+{_tree_sql("docs", _DOC_LEVELS)},
+langs_0 AS (SELECT '' AS tree, tree AS name, root AS h, row_number() OVER (ORDER BY tree) - 1 AS "at" FROM docs_roots),
+{_tree_sql("langs", _LANG_LEVELS)},
+below AS (
+    SELECT doc_id, tree, h AS leaf, {_steps_sql(_DOC_LEVELS)} AS steps, {_fold_sql("seen", _DOC_LEVELS)} AS folded FROM docs_paths),
+whole AS (
+    SELECT b.*, p.h AS subroot, (SELECT root FROM langs_roots) AS root, b.steps || ({_steps_sql(_LANG_LEVELS)}) AS every,
+           {_fold_sql("folded", _LANG_LEVELS)} AS folded_root
+    FROM below b JOIN langs_paths p ON p.name = b.tree)
+SELECT doc_id, leaf, subroot, root, sha256(every) AS proof_sha256, folded_root, folded_root = root AS verified FROM whole
+"""
