@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import lines, manifest, mixing, neardup, pieces, pii, quality, substrings, toxicity, vectors, warc
+from gazette.llm import lines, manifest, mixing, neardup, pieces, pii, quality, substrings, toxicity, trie, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -377,3 +377,43 @@ whole AS (
     FROM below b JOIN langs_paths p ON p.name = b.tree)
 SELECT doc_id, leaf, subroot, root, sha256(every) AS proof_sha256, folded_root, folded_root = root AS verified FROM whole
 """
+
+
+@_query("op13_conversation_trie")
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the rebuilt conversations, with totals over its subtree."""
+    return trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op13_conversation_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id, sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+           length(coalesce(text, '')) AS n_chars, turn
+    FROM conversations WHERE conv_id IS NOT NULL),
+original AS (
+    SELECT conv_id, list(h ORDER BY turn NULLS FIRST, h) AS hs, list(n_chars ORDER BY turn NULLS FIRST, h) AS ns,
+           ({_crc32_sql("conv_id::VARCHAR")} % 6)::BIGINT AS head
+    FROM turns GROUP BY conv_id),
+rebuilt AS (
+    SELECT o.conv_id, coalesce(b.hs[1:o.head], []) || o.hs[o.head + 1:] AS hs, coalesce(b.ns[1:o.head], []) || o.ns[o.head + 1:] AS ns
+    FROM original o LEFT JOIN original b ON b.conv_id = o.conv_id - o.conv_id % 100),
+met AS (
+    SELECT conv_id, d AS depth, array_to_string(hs[1:d], ',') AS k, array_to_string(hs[1:d - 1], ',') AS up, ns[d] AS n_chars,
+           d = len(hs) AS last, hs
+    FROM (SELECT *, unnest(range(0, len(hs) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT k, depth, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(n_chars) AS n_chars, any_value(hs[1:depth]) AS hs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+    FROM met GROUP BY k, depth),
+children AS (SELECT up AS k, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+wide AS (
+    SELECT x.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children, (x.n_convs - 1) * coalesce(x.n_chars, 0) AS saved
+    FROM nodes x LEFT JOIN nodes p ON p.k = x.up AND p.depth = x.depth - 1
+    LEFT JOIN children c ON c.k = x.k AND c.depth = x.depth),
+above AS (
+    SELECT d AS depth, array_to_string(hs[1:d], ',') AS k, n_children, saved
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM wide)),
+sums AS (SELECT k, depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY ALL)
+SELECT conv_id, w.depth::BIGINT AS depth, parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM wide w JOIN sums USING (k, depth)
+"""
