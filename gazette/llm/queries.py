@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import lines, manifest, mixing, neardup, pieces, pii, quality, substrings, toxicity, trie, vectors, warc
+from gazette.llm import lines, manifest, mixing, neardup, pieces, pii, quality, sitetree, substrings, toxicity, trie, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -417,3 +417,27 @@ sums AS (SELECT k, depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(save
 SELECT conv_id, w.depth::BIGINT AS depth, parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves, saved_tokens, ends_sha256
 FROM wide w JOIN sums USING (k, depth)
 """
+
+
+@_query("op11_main_text")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page, without what its host's pages share."""
+    return sitetree.extract(_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# SQL has no style tree: this is what the supplied pages have in their one article, which no tree may take away.
+ORACLES["op11_main_text"] = r"""
+WITH inner_html AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS t FROM pages),
+marked AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\s+', ' ', 'g'),
+        '</?(p|h1)>', chr(10), 'g'), '<br>', ' ', 'g'), '</?b>', '', 'g') AS t FROM inner_html),
+decoded AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        t, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g') AS t FROM marked),
+joined AS (
+    SELECT page_id, url, array_to_string([x FOR x IN [
+        trim(regexp_replace(y, '\s+', ' ', 'g')) FOR y IN string_split(t, chr(10))] IF x <> ''], chr(10)) AS text FROM decoded)
+SELECT page_id, url, text, length(text) AS n_chars FROM joined
+"""
