@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pathlib
 import tempfile
 import zipfile
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,12 +72,29 @@ def ship(spark: SparkSession) -> None:
     context._llm_shipped = True
 
 
+def trim() -> None:
+    """Hand freed memory back: workers are used again, and a cluster counts what they hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: nothing to trim
+
+
+def _tidy(work: Callable) -> Callable:
+    def and_trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        trim()
+
+    return and_trim
+
+
 def in_arrow(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
 ) -> DataFrame:
     """`work` over the Arrow batches of each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(_tidy(work), schema)
 
 
 def grouped(df: DataFrame, keys: list[str], work: Callable, schema: str) -> DataFrame:
@@ -90,6 +109,36 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def slices(batch: pa.RecordBatch, column: str, rows: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most `rows` rows and about `size` bytes of text, at least a row each."""
+    held = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < batch.num_rows:
+        before = held[at - 1] if at else 0
+        to = min(at + rows, max(at + 1, int(np.searchsorted(held, before + size, "right"))), batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+class Pool:
+    """Rows added at the end of an array that doubles when it is full."""
+
+    def __init__(self, first: np.ndarray):
+        self.held, self.n = first, len(first)
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self.held[:self.n]
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            wider = np.empty((max(1024, 2 * len(self.held), self.n + len(more)), *self.held.shape[1:]), self.held.dtype)
+            wider[:self.n] = self.rows
+            self.held = wider
+        self.held[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash for each word; `bytes.split` parts at exactly the six gaps."""
     found = text.split()
@@ -135,7 +184,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """The same rows read back from a compressed table in the shared folder."""
     path = shared_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._kept_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `kept` wrote, once nothing will read them again."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._kept_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lists(values: pa.Array, sizes) -> pa.ListArray:

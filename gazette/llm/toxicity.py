@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import in_arrow, numbered, pick
+from gazette.llm.common import Pool, in_arrow, kept, numbered, pick, slices
 
 #: Labelled documents in the sample, toxic and clean, and the most windows of either; of any length.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
@@ -38,9 +38,11 @@ HIDDEN = 8
 WORD_BITS, GRAM_BITS, GRAM = 15, 16, 5
 WORD_DIM, GRAM_DIM = 5, 5
 INPUT = 2 + WORD_DIM + GRAM_DIM
-_EPOCHS, _STEPS, _BATCH, _RATE = 4, 60, 256, 0.01
-#: Words whose inputs a task remembers; forgetting costs time only.
-_REMEMBERED = 150_000
+_EPOCHS, _STEPS, _BATCH, _RATE = 5, 60, 256, 0.01
+#: Parts of the sample; a document's statistics, in training and calibration, are those of the other parts.
+FOLDS = 4
+#: Words whose gates a task remembers (192 bytes each); forgetting costs time only.
+_REMEMBERED = 60_000
 _WORD = re.compile(r"\w+")
 
 
@@ -211,16 +213,21 @@ class _Sample:
 
     def __init__(self, texts: list[str], toxic: np.ndarray):
         self.toxic, number = toxic, {}
+        self.fold = np.random.default_rng(3).permutation(len(texts)) % FOLDS
         self.docs = [np.array([number.setdefault(w, len(number) + 1) for w in words_of(t)], np.int64) for t in texts]
         self.hashes, self.grams, self.starts = inputs_of(list(number)) if number else ([], [], [])
         self.windows = [[d[a:b] for a, b in windows_of(len(d))] for d in self.docs]
 
-    def leanings(self) -> tuple[np.ndarray, np.ndarray]:
         ends = np.r_[self.starts[1:], len(self.grams)]
-        word_sets = [np.unique(self.hashes[np.unique(d) - 1]) for d in self.docs]
-        gram_sets = [np.unique(np.concatenate([self.grams[self.starts[w - 1]:ends[w - 1]] for w in np.unique(d)]))
-                     if len(d) else np.empty(0, np.int64) for d in self.docs]
-        return (_leaning(word_sets, self.toxic, 1 << WORD_BITS), _leaning(gram_sets, self.toxic, 1 << GRAM_BITS))
+        self.word_sets = [np.unique(self.hashes[np.unique(d) - 1]) if len(d) else np.empty(0, np.int64) for d in self.docs]
+        self.gram_sets = [np.unique(np.concatenate([self.grams[self.starts[w - 1]:ends[w - 1]] for w in np.unique(d)]))
+                          if len(d) else np.empty(0, np.int64) for d in self.docs]
+
+    def leanings(self, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Statistics of words and of five-grams over the sample, or over all of its parts but one."""
+        rows = [i for i in range(len(self.docs)) if self.fold[i] != without]
+        return tuple(_leaning([sets[i] for i in rows], self.toxic[rows], size)
+                     for sets, size in ((self.word_sets, 1 << WORD_BITS), (self.gram_sets, 1 << GRAM_BITS)))
 
     def some(self, windows: list[np.ndarray]):
         """The distinct words of windows as features, and the windows in their numbers."""
@@ -247,15 +254,20 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> Network:
         return net
     net, draw = Network(*sample.leanings(), seed), np.random.default_rng(seed)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
+    parts = [(sample.leanings(fold), [i for i in usable if sample.fold[i] == fold]) for fold in range(FOLDS)]
     step, epochs = 0, max(_EPOCHS, -(-_STEPS * _BATCH // (2 * len(usable))))
     for epoch in range(epochs):
-        best = _worst_windows(net, sample, usable, by_leaning=epoch == 0)
-        chosen = [(i, best[i][0]) for i in usable]
-        chosen += [(i, int(draw.integers(len(sample.windows[i])))) for i in usable if not sample.toxic[i]]
-        order = draw.permutation(len(chosen))
-        share = sample.toxic[[i for i, _ in chosen]].mean()
-        for lo in range(0, len(order), _BATCH):
-            some = [chosen[j] for j in order[lo:lo + _BATCH]]
+        batches, best = [], {}
+        for own, docs in parts:
+            net.word_leaning, net.gram_leaning = own
+            best |= _worst_windows(net, sample, docs, by_leaning=epoch == 0)
+            chosen = [(i, best[i][0]) for i in docs]
+            chosen += [(i, int(draw.integers(len(sample.windows[i])))) for i in docs if not sample.toxic[i]]
+            order = draw.permutation(len(chosen))
+            batches += [(own, [chosen[j] for j in order[lo:lo + _BATCH]]) for lo in range(0, len(order), _BATCH)]
+        share = sample.toxic[[i for _, some in batches for i, _ in some]].mean()
+        for b in draw.permutation(len(batches)):
+            (net.word_leaning, net.gram_leaning), some = batches[b]
             features, at = sample.some([sample.windows[i][w] for i, w in some])
             labels = sample.toxic[[i for i, _ in some]].astype(np.float32)
             weights = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
@@ -266,8 +278,11 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> Network:
                 v += 0.01 * (g * g - v)
                 rate = _RATE * (1 - epoch / epochs) * (0.2 if k in ("word", "gram") else 1)
                 net.p[k] -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
-    worst = _worst_windows(net, sample, usable)
+    worst = {}
+    for (net.word_leaning, net.gram_leaning), docs in parts:
+        worst |= _worst_windows(net, sample, docs)
     net.scale = _calibrated(np.array([worst[i][1] for i in usable]), sample.toxic[usable].astype(float))
+    net.word_leaning, net.gram_leaning = sample.leanings()
     return net
 
 
@@ -305,27 +320,39 @@ def _calibrated(logits: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Network:
-    """A network from a sample of the labelled documents that are not held out, drawn by hash of the id."""
+    """A network from a sample of the labelled documents that are not held out, drawn by hash of the id.
+
+    Ids are drawn first, then the texts of these at most SAMPLE_TOXIC + SAMPLE_CLEAN ids are
+    fetched: no shuffle carries texts.
+    """
     known = pick(labels, doc_id="long", toxic="int").where("doc_id is not null and toxic is not null")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = pick(docs, doc_id="long", text="string").where("length(text) > 0").join(known, "doc_id")
+    texts = pick(docs, doc_id="long", text="string").where("length(text) > 0")
+    present = kept(known.where("toxic in (0, 1)").join(texts.select("doc_id"), "doc_id", "left_semi"), "labelled")
+    drawn = [
+        r.doc_id for label, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
+        for r in present.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
+    # at most 4,500 ids: a broadcast of a few kilobytes
+    ids = docs.sparkSession.createDataFrame([(i,) for i in drawn], "doc_id long")
     order = F.struct(F.xxhash64("doc_id").alias("drawn"), "doc_id", F.xxhash64("text").alias("text_key"))
     n_words = F.size(F.split("text", r"(?U)\W+"))
-    rows = rows.withColumn("order", order).withColumn(
-        "n", F.greatest(F.ceil((n_words - WINDOW) / F.lit(STEP)) + 1, F.lit(1)).cast("long"))
+    rows = kept(
+        texts.join(F.broadcast(ids), "doc_id").join(F.broadcast(present.join(F.broadcast(ids), "doc_id")), "doc_id")
+        .select("toxic", "text", order.alias("order"),
+                F.greatest(F.ceil((n_words - WINDOW) / F.lit(STEP)) + 1, F.lit(1)).cast("long").alias("n")), "sample")
     texts, toxic = [], []
     for label, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
         bound = SAMPLE_WINDOWS[label]
         some = rows.where((F.col("toxic") == label) & (F.col("n") <= bound))
-        # texts are fetched only once it is known how many fit
+        # texts come to the driver only once it is known how many fit
         lean = some.select("order", "n").orderBy("order").limit(most).collect()
         fits = [r for r, so_far in zip(lean, accumulate(r.n for r in lean)) if so_far <= bound]
         if not fits:
             continue
         last = F.struct(*[F.lit(v).cast("long").alias(k) for k, v in fits[-1].order.asDict().items()])
-        drawn = some.where(F.col("order") <= last).orderBy("order").limit(len(fits)).select("text").collect()
-        texts += [r.text for r in drawn]
-        toxic += [label] * len(drawn)
+        found = some.where(F.col("order") <= last).orderBy("order").limit(len(fits)).select("text").collect()
+        texts += [r.text for r in found]
+        toxic += [label] * len(found)
     return fit(texts, toxic)
 
 
@@ -338,7 +365,7 @@ class Scorer:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.gates = self.net.gates(np.zeros((0, INPUT), np.float32))
+        self.gates = [Pool(x) for x in self.net.gates(np.zeros((0, INPUT), np.float32))]
 
     def __call__(self, texts: Iterator[str]) -> np.ndarray:
         if len(self.known) > _REMEMBERED:
@@ -352,19 +379,20 @@ class Scorer:
         if new:
             self.known.update(zip(new, range(len(self.known) + 1, len(self.known) + len(new) + 1)))
             more = self.net.gates(self.net.inputs(*inputs_of(new)))
-            self.gates = [np.concatenate([a, b[1:]]) for a, b in zip(self.gates, more)]
+            for pool, rows in zip(self.gates, more):
+                pool.add(rows[1:])
         numbers = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
         numbers = np.concatenate([numbers, np.zeros(WINDOW, np.int32)])
         first = np.cumsum(sizes) - sizes
         spans = [(i, first[i] + a, b - a) for i, n in enumerate(sizes) for a, b in windows_of(n)]
-        scores = np.zeros(len(sizes))
+        scores, gates = np.zeros(len(sizes)), [pool.rows for pool in self.gates]
         spans.sort(key=lambda s: s[2])
         for lo in range(0, len(spans), 2048):
             doc, start, size = (np.array(x) for x in zip(*spans[lo:lo + 2048]))
             longest = int(size[-1])
             place = np.arange(longest)
             at = np.where(place < size[:, None], numbers[start[:, None] + place], 0)
-            np.maximum.at(scores, doc, self.net.scores(self.net.forward(self.gates, at)))
+            np.maximum.at(scores, doc, self.net.scores(self.net.forward(gates, at)))
         return scores
 
 
@@ -372,8 +400,7 @@ def _score(net: Network):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for batch in slices(whole, "text", 500):
                 scores = scorer(text.as_py() or "" for text in batch.column("text"))
                 yield pa.record_batch({
                     "text_key": batch.column("text_key"), "doc_id": batch.column("doc_id"),
@@ -401,8 +428,7 @@ def not_toxic(docs: DataFrame, net: Network, most: float = 0.5) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 500):
-                batch = whole.slice(lo, 500)
+            for batch in slices(whole, column, 500):
                 scores = scorer(text.as_py() or "" for text in batch.column(column))
                 yield batch.filter(pa.array(scores < most))
 

@@ -198,7 +198,7 @@ def test_lines(spark):
     every = sorted({(place(i), t, n, x.strip(" \t\n\x0b\x0c\r")) for i, t in rows for n, x in enumerate((t or "").split("\n"))
                     if x.strip(" \t\n\x0b\x0c\r")}, key=lambda e: (e[0], e[2]))
     different = sorted({e[3] for e in every})
-    sets = [char_set(x, 9) for x in different]
+    sets = [char_set(x, lines.CHARS) for x in different]
     linked = [(a, b) for a in range(len(sets)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
     parts = brute_components(range(len(sets)), linked)
     first = {}
@@ -218,6 +218,13 @@ def test_lines(spark):
     assert lines.unique_lines(table(spark, [])).count() == 0
 
 
+def test_lines_with_one_letter_changed_are_alike(spark):
+    line = "the quick brown fox jumps over the lazy dog and runs away now"
+    rows = [(1, line), (2, line.replace("lazy", "lady")), (3, line + "!!"), (4, line.replace("quick", "quiet").replace("away", "home"))]
+    kept = {x.doc_id: x.text for x in lines.unique_lines(table(spark, rows)).collect()}
+    assert kept == {1: line, 2: "", 3: "", 4: rows[3][1]}
+
+
 # --- 2
 
 
@@ -351,13 +358,14 @@ def test_vectors(spark):
     for i in range(400):
         x = bases[draw.integers(30)] + draw.normal(size=24) * draw.choice([0.02, 0.2, 1.0])
         rows.append((i, (x * draw.choice([1, 3])).tolist()))
-    rows += [(500, rows[3][1]), (501, rows[3][1]), (502, None), (503, []), (504, [0.0] * 24), (505, [1.0, None]), (None, rows[3][1]),
+    rows += [rows[3], rows[3], (500, rows[3][1]), (500, rows[3][1]), (501, rows[3][1]), (502, None), (503, []), (504, [0.0] * 24), (505, [1.0, None]), (None, rows[3][1]),
              (506, [float("nan")] * 24), (507, [float("inf")] + [1.0] * 23), (508, [1.0, 2.0]), (509, [2.0, 4.0]), (502, None)]
     good = [(i, np.array(x, float)) for i, x in rows if i is not None and x and None not in x and np.isfinite(np.array(x, float)).all() and any(x)]
-    linked = [(a, b) for n, (a, x) in enumerate(good) for b, y in good[:n] if len(x) == len(y)
-              and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95]
+    linked = {(a, b) for a, x in good for b, y in good if len(x) == len(y) and b < a
+              and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95}
     parts = brute_components({i for i, _ in rows if i is not None}, linked)
-    found = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    table_ = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, n_links string, Unit int")
+    found = vectors.near_vectors(table_)
     assert found.count() == len(rows)
     for x in found.collect():
         if x.vec_id is None:
@@ -512,6 +520,55 @@ def test_the_sample_has_documents_of_all_lengths(spark, monkeypatch):
     assert 200 < windows[0] <= 400 and 100 < windows[1] <= 200 and max(drawn)[0] > 4000
 
 
+def test_no_exchange_carries_texts_of_the_sample(spark, monkeypatch):
+    from gazette.llm import common
+
+    plans = []
+    monkeypatch.setattr(toxicity, "kept", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or common.kept(df, name))
+    rows = toxic_rows()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.train(table(spark, [(i, t) for i, t, _ in rows]), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    physical = [p.split("== Physical Plan ==")[1] for p in plans]
+    assert len(physical) == 2
+    for plan in physical:
+        below = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert all("text" not in x for x in below)
+    assert "Exchange hashpartitioning" not in physical[1].split("BroadcastExchange")[0]
+
+
+def test_forward_is_the_plain_recurrence():
+    net = toxicity.Network(*[np.random.default_rng(n).normal(size=1 << n).astype(np.float32) for n in (toxicity.WORD_BITS, toxicity.GRAM_BITS)])
+    features = toxicity.inputs_of(["one", "two", "threes", "fo"])
+    x, h = net.inputs(*features), toxicity.HIDDEN
+    at = np.array([[1, 2, 3, 4], [4, 2, 0, 0], [3, 0, 0, 0]])
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    for row, logit in zip(at, net.forward(net.gates(x), at)):
+        own, states = [w - 1 for w in row if w], {}
+        for way, order in (("f", own), ("b", own[::-1])):
+            s, states[way] = np.zeros(h), []
+            for w in order:
+                a, r = x[w] @ net.p[f"in_{way}"] + net.p[f"add_{way}"], s @ net.p[f"rec_{way}"]
+                z, reset = sigmoid(a[:h] + r[:h]), sigmoid(a[h:2 * h] + r[h:2 * h])
+                s = (1 - z) * np.tanh(a[2 * h:] + reset * r[2 * h:]) + z * s
+                states[way].append(s)
+        both = np.concatenate([states["f"], states["b"][::-1]], axis=1)
+        look = np.exp(both @ net.p["look"])
+        assert abs((look / look.sum()) @ both @ net.p["out"] + net.p["bias"][0] - logit) < 1e-4
+
+
+def test_statistics_of_a_document_leave_out_its_part():
+    texts, toxic = [f"common word{i}" for i in range(40)], [i % 2 for i in range(40)]
+    sample = toxicity._Sample(texts, np.array(toxic, bool))
+    for part in range(toxicity.FOLDS):
+        words_, _ = sample.leanings(part)
+        own = [sample.hashes[d[1] - 1] for i, d in enumerate(sample.docs) if sample.fold[i] == part]
+        others = {sample.hashes[d[1] - 1] for i, d in enumerate(sample.docs) if sample.fold[i] != part}
+        assert all(words_[h] == 0 for h in own if h not in others)
+
+
 def test_gradients():
     net = toxicity.Network(np.zeros(1 << toxicity.WORD_BITS, np.float32), np.zeros(1 << toxicity.GRAM_BITS, np.float32))
     for k in net.p:
