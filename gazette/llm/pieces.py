@@ -14,6 +14,7 @@ Repeated rows give repeated results.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from collections.abc import Iterator
@@ -23,11 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gazette.llm.common import in_arrow, lists, pick, texts_of
+from gazette.llm.common import Pool, in_arrow, lists, pick, slices, texts_of
 
 SPACE = "▁"
 #: Distinct units remembered by a task; forgetting costs time only.
-_REMEMBERED = 200_000
+_REMEMBERED = 80_000
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 
 
@@ -211,13 +212,27 @@ class Model:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
+_models: dict[str, Model] = {}
+
+
+def _model(serialised: bytes) -> Model:
+    """The model, made once in a worker."""
+    key = hashlib.sha256(serialised).hexdigest()
+    if key not in _models:
+        _models.clear()
+        _models[key] = Model(serialised)
+    return _models[key]
+
+
+def _pools() -> list[Pool]:
+    return [Pool(np.empty(0, np.int32)), Pool(np.empty(0, np.int32)), Pool(np.empty(0, np.int64))]
+
+
 def _encode(serialised: bytes):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = Model(serialised), {}
-        pool = [np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)]
+        model, known, pools = _model(serialised), {}, _pools()
         for whole in batches:
-            for at in range(0, whole.num_rows, 250):
-                batch = whole.slice(at, 250)
+            for batch in slices(whole, "text", 250):
                 units, per_doc, places = [], [], []
                 for text in texts_of(batch):
                     normal, place = model.normalise(text)
@@ -227,11 +242,12 @@ def _encode(serialised: bytes):
                     per_doc.append(len(own))
                     places.append(place)
                 if len(known) > _REMEMBERED:
-                    known, pool = {}, [x[:0] for x in pool]
+                    known, pools = {}, _pools()
                 new = [u for u in dict.fromkeys(units) if u not in known]
                 known.update(zip(new, range(len(known), len(known) + len(new))))
-                pool = [np.concatenate(x) for x in zip(pool, model.encode_units(new))]
-                ids_of, sizes_of, counts = pool
+                for pool, more in zip(pools, model.encode_units(new)):
+                    pool.add(more)
+                ids_of, sizes_of, counts = (pool.rows for pool in pools)
                 # the pieces of every unit in turn, then the end id after each document
                 which = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
                 many = counts[which]

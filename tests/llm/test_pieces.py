@@ -2,10 +2,10 @@
 
 import struct
 
+import public_tokenizers
 import pytest
 
 from gazette.llm import pieces
-from gazette.llm.queries import _tokenizer
 
 sentencepiece = pytest.importorskip("sentencepiece")
 
@@ -17,7 +17,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def model():
-    return pieces.read_model(_tokenizer("piece_bpe_32k.model"))
+    return pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def test_encode(spark, model):
