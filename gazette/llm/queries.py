@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import importlib.util
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,8 +110,8 @@ every AS (
 classes AS (SELECT line, row_number() OVER (ORDER BY line) AS node FROM (SELECT DISTINCT line FROM every WHERE line <> '')),
 nodes AS (SELECT node AS n FROM classes),
 shingles AS (
-    SELECT DISTINCT node, hash(substr(line, s, 9)) AS h
-    FROM (SELECT node, line, unnest(range(1, greatest(length(line) - 7, 2))) AS s FROM classes)),
+    SELECT DISTINCT node, hash(substr(line, s, 5)) AS h
+    FROM (SELECT node, line, unnest(range(1, greatest(length(line) - 3, 2))) AS s FROM classes)),
 sizes AS (SELECT node, count(*) AS n FROM shingles GROUP BY node),
 pairs AS (
     SELECT x.node AS a, y.node AS b, count(*) AS n_both
@@ -134,22 +133,14 @@ FROM documents d LEFT JOIN (
 """
 
 
-def _tokenizer(name: str) -> str:
-    """Where a file of the public tokenizers is; PUBLIC_TOKENIZERS may name another folder."""
-    folder = os.environ.get("PUBLIC_TOKENIZERS")
-    if not folder:
-        found = importlib.util.find_spec("public_tokenizers")
-        folder = os.path.dirname(found.origin) if found else "/opt/tokenizers"
-    return os.path.join(folder, name)
-
-
 def encoded(docs: DataFrame) -> DataFrame:
-    """Digests of the ids and of the decoded text of each document."""
-    out = pieces.encode(docs, pieces.read_model(_tokenizer("piece_bpe_32k.model")))
+    """Digests of the ids, of the decoded text and of where each piece ends in the text's bytes, for each document."""
+    out = pieces.encode(docs, pieces.read_model(public_tokenizers.path("piece_bpe_32k.model")))
     return out.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(F.col("ends").cast("array<string>"), " "), 256).alias("ends_sha256"))
 
 
 @_query("op8_sentencepiece")
@@ -284,7 +275,7 @@ def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op7_vector_dedup"] = f"""
 WITH RECURSIVE good AS (
-    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
       AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (
