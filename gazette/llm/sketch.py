@@ -87,7 +87,8 @@ class Seen:
         merged = grouped(merged_parts, ["sketch_row", "sketch_block"], _merged(at_least), PARTS)
         bitmaps = np.zeros((ROWS, 1 << max(bits, _BLOCK_BITS) - 3), np.uint8)
         size = 1 << (_BLOCK_BITS - 3)
-        for row in merged.toLocalIterator():
+        # one job; the blocks are at most the bitmap's size
+        for row in merged.collect():
             at = row.sketch_block * size
             bitmaps[row.sketch_row, at:at + size] = np.frombuffer(bytes(row.sketch_cells), np.uint8)
         self.bits = bits

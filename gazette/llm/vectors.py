@@ -14,7 +14,8 @@ spanning forest of the links leave a chunk.
 
 Rows: one for each vector. Vectors that are null, empty, zero or hold null or non-finite
 numbers link with nothing, nor do rows without vec_id; vectors of different lengths are
-never linked. Rows of one vec_id are one node, whatever their vectors.
+never linked. Rows of one vec_id are one node, whatever their vectors; equal rows count
+once, a node's different vectors each. A vector does not link with its own vec_id.
 """
 
 from __future__ import annotations
@@ -215,7 +216,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     every = kept(in_arrow(rows, _units, "vec_id long, digest binary, dim int, unit binary"), "units")
     good = every.where("digest is not null and vec_id is not null")
     classes = kept(
-        good.groupBy("digest", "dim").agg(F.min("vec_id").alias("node"), F.count("*").alias("many"),
+        good.groupBy("digest", "dim").agg(F.min("vec_id").alias("node"), F.count_distinct("vec_id").alias("many"),
                                           F.first("unit").alias("unit")), "vector-classes")
     shared = spark.sparkContext.broadcast(_Indexes(fitted(classes)))
     placed = kept(in_arrow(classes.drop("digest"), _place(shared, threshold), _PLACED), "index")
