@@ -1,10 +1,10 @@
 r"""One line kept of each group of nearly equal lines across all documents.
 
 A line is what stands between \n, without white space at its ends; lines without a word
-are left alone. Its set holds its 9-character shingles (a shorter line is one shingle).
-Equal lines are merged first. 64 MinHash samples in 16 bands of 4 propose candidate
-clusters: two lines at similarity 0.8 share no band twice in ten thousand times, at 0.9
-once in five million. Inside a cluster every pair is compared exactly, block by block,
+are left alone. Its set holds its 5-character shingles (a shorter line is one shingle).
+Equal lines are merged first. 144 MinHash samples in 24 bands of 6 propose candidate
+clusters: two lines at similarity 0.8 share no band seven times in ten thousand, at
+0.9 once in eighty million. Inside a cluster every pair is compared exactly, block by block,
 and linked at 0.8 or more. Of each component the line of the smallest (doc_id, line
 number) stays; the others go with their line breaks.
 
@@ -28,9 +28,9 @@ from gazette.llm.graph import components
 from gazette.llm.minhash import BLOCK, Union, band_keys, block_pairs, clusters, link_batch, permutations, signature
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
 
-CHARS = 9
+CHARS = 5
 THRESHOLD = (4, 5)
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 24, 6
 _ENDS = " \t\n\x0b\x0c\r"
 #: Lines a task remembers so as not to hand them on twice; forgetting costs time only.
 _REMEMBERED = 200_000
