@@ -84,3 +84,14 @@ def sample(df: DataFrame, key: str, n: int = 20, seed: int = 0) -> DataFrame:
     """`n` rows picked by a hash of key and seed, the same ones every time (T4)."""
     order = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256)
     return df.orderBy(order, F.col(key)).limit(n)
+
+
+def annotation_cost(articles: DataFrame, price: float, text: str = "content", chars_per_token: int = 4) -> DataFrame:
+    """Tokens and price of annotating each feed's articles: `rss`, `articles`, `tokens`, `cost`.
+
+    `price` is that of a thousand tokens; a null text costs nothing.
+    """
+    tokens = F.ceil(F.coalesce(F.length(text), F.lit(0)) / chars_per_token)
+    return articles.groupBy("rss").agg(
+        F.count(F.lit(1)).alias("articles"), F.sum(tokens).alias("tokens"),
+    ).withColumn("cost", F.col("tokens") * F.lit(price / 1000))

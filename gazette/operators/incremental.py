@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gazette.operators.joins import lookup
 
+# Fixed value: how often a message is received before it is a dead letter.
+MAX_RECEIVE = 3
+
 
 def new_entries(entries: DataFrame, registry: DataFrame) -> DataFrame:
     """Entries published after the stored cursor of their feed.
@@ -45,7 +48,7 @@ def capped_per_feed(articles: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def split_dead_letters(
-    messages: DataFrame, max_receive: int = 3, attempts: str = "attempts"
+    messages: DataFrame, max_receive: int = MAX_RECEIVE, attempts: str = "attempts"
 ) -> tuple[DataFrame, DataFrame]:
     """Messages to deliver again, and those received `max_receive` times."""
     dead = F.coalesce(F.col(attempts), F.lit(0)) >= max_receive

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gazette.functions.bodies import object_metadata
+from gazette.functions.bodies import decoded, object_metadata
 from gazette.functions.dates import publish_epoch
 from gazette.functions.text import cleaned, key_of
-from gazette.operators.incremental import latest_per_key, newer_than_cursor
+from gazette.operators.incremental import MAX_RECEIVE, latest_per_key, newer_than_cursor, split_dead_letters
 from gazette.operators.joins import lookup, split_join
 from gazette.operators.registry import decoded_messages, max_per_feed
 from gazette.operators.vectors import embed, vector_records
@@ -19,11 +20,13 @@ from gazette.operators.counts import outcomes
 from gazette.schemas import ARTICLE, ARTICLE_COLUMNS, STRATEGIES
 from gazette.session import stored
 from gazette.sinks.articles import read_batch, save_articles
+from gazette.sinks.commits import begin_batch, commit_batch
 from gazette.sinks.metrics import write_metrics
 from gazette.sinks.registry import read_registry, write_cursors
 from gazette.sinks.vectors import collection, upsert_vectors
 from gazette.sources.feeds import parsed_feeds
 from gazette.sources.pages import extract_articles
+from gazette.sources.queue import return_messages
 
 
 def feed_cursors(messages: DataFrame, registry: DataFrame) -> DataFrame:
@@ -129,6 +132,10 @@ class Stores:
     metrics: str
     vectors: str | None = None
     namespace: str = "articles"
+    # When given: batches begun and committed; a queue that gets failed messages back; those given up.
+    commits: str | None = None
+    queue: str | None = None
+    dead: str | None = None
 
 
 def check_strategy(strategy: str) -> list[str]:
@@ -176,9 +183,25 @@ def batch_outcomes(entries: DataFrame, articles: DataFrame, broken: DataFrame) -
     )
 
 
+def failed_messages(messages: DataFrame, read: DataFrame) -> DataFrame:
+    """Messages that are none, or whose feed has an unreadable document, with one attempt more."""
+    broken = read.filter("broken IS NOT NULL").select(F.col("rss").alias("u")).distinct()
+    asked = messages.withColumn("u", decoded(F.col("value"))["u"])
+    failed = asked.join(broken, "u", "left_semi").unionByName(asked.filter("u IS NULL"))
+    return failed.select("message_id", "value", (F.coalesce("attempts", F.lit(0)) + 1).alias("attempts"))
+
+
+def hand_back(messages: DataFrame, read: DataFrame, stores: Stores, batch_id: int, max_receive: int) -> None:
+    """Failed messages back into the queue; those received `max_receive` times to the dead letters."""
+    again, dead = split_dead_letters(failed_messages(messages, read), max_receive)
+    dead.write.mode("overwrite").parquet(f"{stores.dead}/batch_id={batch_id}")
+    return_messages(again, stores.queue, batch_id)
+
+
 def ingest_batch(
     messages: DataFrame, docs: DataFrame, pages: DataFrame, stores: Stores, batch_id: int,
-    now: dt.datetime, strategy: str = "s3", clean: bool = False, model=None,
+    now: dt.datetime, strategy: str = "s3", clean: bool = False, model=None, max_receive: int = MAX_RECEIVE,
+    after: Callable[[str], None] = lambda step: None,
 ) -> None:
     """Handle one batch of JSON messages (G3): articles, then cursors, then metrics.
 
@@ -186,10 +209,18 @@ def ingest_batch(
     after a crash finds the same entries and overwrites its own folders. An
     error leaves the batch undone. Articles are made once and written; whatever
     else needs them reads them back.
+
+    With `stores.commits` the batch keeps the instant at which it was first begun
+    and is committed at its end. With `stores.queue`, messages (of `queue_stream`)
+    that fail are put back, up to `max_receive` times, and the others go on.
+    `after` is told each step that is done.
     """
     sinks = check_strategy(strategy)
     started = time.monotonic()
     spark = messages.sparkSession
+    if stores.commits:
+        now = begin_batch(spark, stores.commits, batch_id, now)
+        after("begun")
     asked, unreadable = decoded_messages(messages)
     cursors = feed_cursors(asked, read_registry(spark, stores.registry, before_batch=batch_id)).persist()
     read = read_entries(cursors, docs, int(now.timestamp())).persist()
@@ -206,11 +237,19 @@ def ingest_batch(
             articles.write.mode("overwrite").parquet(made)
             articles = spark.read.schema(ARTICLE).parquet(made)
             save(articles, stores, strategy, now, batch_id, model)
+        after("articles")
         rejects(unreadable, read).write.mode("overwrite").parquet(f"{stores.rejects}/batch_id={batch_id}")
         moved = moved_cursors(cursors, entries).filter("stored IS NULL OR dt > stored")
         write_cursors(moved, stores.registry, batch_id)
+        after("cursors")
+        if stores.queue:
+            hand_back(messages, read, stores, batch_id, max_receive)
+            after("returned")
         results = batch_outcomes(keyed, articles, read.filter("broken IS NOT NULL"))
         write_metrics(results, time.monotonic() - started, stores.metrics, now, batch_id)
+        if stores.commits:
+            commit_batch(spark, stores.commits, batch_id, articles.count())
+            after("committed")
     finally:
         read.unpersist()
         cursors.unpersist()

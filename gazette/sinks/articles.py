@@ -11,6 +11,7 @@ from gazette.functions.dates import object_path
 from gazette.operators.filters import in_day_partitions, in_range, split_keyed
 from gazette.operators.incremental import latest_per_key
 from gazette.schemas import STORED
+from gazette.sinks.commits import only_committed
 
 
 def storage_rows(articles: DataFrame, ingest_ts: dt.datetime) -> DataFrame:
@@ -57,12 +58,15 @@ def read_articles(
     end_date: str | None = None,
     whole_end_day: bool = False,
     file_format: str = "parquet",
+    commits: str | None = None,
 ) -> DataFrame:
     """Stored articles of a range of ingest times, the last write of each object.
 
-    Only folders the range can touch are read.
+    Only folders the range can touch are read, and with `commits` only committed batches.
     """
     rows = in_day_partitions(spark.read.schema(STORED).format(file_format).load(path), start_date, end_date)
+    if commits:
+        rows = only_committed(rows, commits)
     rows = in_range(rows, "ingest_ts", start_date, end_date, whole_end_day)
     return latest_per_key(
         rows, ["year", "month", "day", "article_id"], [F.desc("ingest_ts"), F.desc("batch_id")]

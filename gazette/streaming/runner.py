@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from gazette.operators.incremental import MAX_RECEIVE
 from gazette.plans.ingest import Stores, check_strategy, ingest_batch
 
 # Fixed value: how often feeds are read.
@@ -30,6 +31,7 @@ def run_ingest(
     messages: DataFrame, docs: DataFrame, pages: DataFrame, stores: Stores, checkpoint: str,
     strategy: str = "s3", clean: bool = False, model=None,
     clock: Callable[[int], dt.datetime] = _now, once: bool = False, interval: str = INTERVAL,
+    max_receive: int = MAX_RECEIVE, after: Callable[[str], None] = lambda step: None,
 ) -> StreamingQuery:
     """Start ingesting a stream of messages, every `interval` or `once` for what is there.
 
@@ -40,7 +42,7 @@ def run_ingest(
     check_strategy(strategy)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, docs, pages, stores, batch_id, clock(batch_id), strategy, clean, model)
+        ingest_batch(batch, docs, pages, stores, batch_id, clock(batch_id), strategy, clean, model, max_receive, after)
 
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return (
