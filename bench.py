@@ -13,7 +13,7 @@ import sys
 import time
 
 from gazette.session import get_session
-from gazette.workload.queries import QUERIES
+from gazette.workload.catalogue import QUERIES
 
 HEADLINES = [
     "article_keys", "clean_newlines_urls", "pub_date_ladder", "queue_messages", "decode_messages",
