@@ -127,10 +127,13 @@ def _metadata_condition(wanted: dict[str, str] | Column | None) -> Column:
     return condition
 
 
-def search(index: DataFrame, queries: DataFrame, top_k: int, metric: str = "cosine") -> DataFrame:
+def search(
+    index: DataFrame, queries: DataFrame, top_k: int, metric: str = "cosine",
+    filter: dict[str, str] | Column | None = None,
+) -> DataFrame:
     """The `top_k` nearest vectors of every query in its namespace.
 
-    `queries` has `query_id`, `namespace`, `vector`. Up to `MAX_SMALL_QUERIES` of
+    A `filter` of metadata is applied before any score is computed (F10). `queries` has `query_id`, `namespace`, `vector`. Up to `MAX_SMALL_QUERIES` of
     them go to every task, which scores a block of vectors against all of them
     and hands on the best `top_k` of the block, so neither the index moves nor
     any pair becomes a row. More queries are taken in groups of that size, one
@@ -138,6 +141,7 @@ def search(index: DataFrame, queries: DataFrame, top_k: int, metric: str = "cosi
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {sorted(METRICS)}")
+    index = index.filter(_metadata_condition(filter))
     asked = queries.select(
         F.col("query_id").cast("string").alias("query_id"), "namespace",
         as_doubles(F.col("vector")).alias("vector"),

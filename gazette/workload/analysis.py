@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gazette.operators import classify, clusters, counts, retrieval, vectors
 from gazette.session import shared_dir
+from gazette.sinks import vector_index, vectors as vector_store
 from gazette.workload import tables as t
 from gazette.workload.queries import _rounded, query
 
@@ -82,3 +83,44 @@ def cluster_steps(spark, sf_dir):
 def feed_cost(spark, sf_dir):
     """Tokens and price of annotating each feed's articles."""
     return _rounded(counts.annotation_cost(t.document_articles(spark, sf_dir), 0.25), "cost")
+
+
+def _indexed(spark, sf_dir, metric: str, lists: int | None = None) -> str:
+    path = shared_dir(spark, "collection")
+    vector_store.create_collection(spark, path, 64, metric)
+    vector_store.upsert_vectors(t.vector_index(spark, sf_dir), path, 0)
+    vector_index.build_index(spark, path, lists)
+    return path
+
+
+def _label_queries(spark, sf_dir):
+    return t.label_vectors(spark, sf_dir).select(
+        F.col("label").alias("query_id"), F.lit("all").alias("namespace"), "vector")
+
+
+@query
+def vector_indexed_topk(spark, sf_dir):
+    """Ten nearest by angle, dot product and distance from indexed collections, opened list by list."""
+    out = None
+    for metric in ("cosine", "dotproduct", "euclidean"):
+        hits, _ = vector_index.query_index(spark, _indexed(spark, sf_dir, metric), "all", t.mean_vector(spark, sf_dir), 10)
+        hits = hits.select(F.lit(metric).alias("metric"), "id", F.round("score", 4).alias("score"))
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+@query
+def vector_indexed_search(spark, sf_dir):
+    """Five nearest to each label's mean, from an indexed collection."""
+    hits = vector_index.search_index(spark, _indexed(spark, sf_dir, "cosine"), _label_queries(spark, sf_dir), 5)
+    return _rounded(hits.select("query_id", "id", "score"), "score")
+
+
+@query
+def vector_search_filtered(spark, sf_dir):
+    """Five nearest to each label's mean among the vectors of label 3, with and without an index."""
+    asked, wanted = _label_queries(spark, sf_dir), {"label": "3"}
+    plain = vectors.search(t.vector_index(spark, sf_dir), asked, 5, "cosine", wanted)
+    indexed = vector_index.search_index(spark, _indexed(spark, sf_dir, "cosine"), asked, 5, wanted)
+    shown = lambda hits, how: hits.select(F.lit(how).alias("how"), "query_id", "id", F.round("score", 4).alias("score"))
+    return shown(plain, "scan").unionByName(shown(indexed, "index"))
