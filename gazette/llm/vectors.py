@@ -3,9 +3,13 @@
 Vectors are scaled to length 1 and equal ones merged. Coarse centres and, for the
 residuals, codebooks of 8 subspaces are fitted on a bounded sample; every vector is then
 indexed under its nearest centre with its codes and its quantisation error. Two lists
-matter to each other's vectors where their border lies within the distance that the
-threshold allows, whatever the direction, so no link is lost; of two lists, one looks
-into the other, and a link between them counts for both ends. In a list, distances to
+matter to each other's vectors where their border lies within the reach of a link. That
+is the distance which the threshold allows, times the part of it that can be expected to
+point from one centre to the other: REACH standard deviations of the sample's residuals
+in that direction, or of a direction drawn evenly if that is more, and all of it where
+the data lie in few directions. Links in a random direction are missed less than once
+in ten thousand times. Of two lists, one looks into the other, and a link between them
+counts for both ends. In a list, distances to
 the codes come from one table per query;
 a vector whose distance exceeds the allowed one by more than its quantisation error
 cannot be linked (triangle inequality), and the others are compared by exact cosine in
@@ -36,13 +40,21 @@ THRESHOLD = 0.95
 #: Vectors the index is fitted on, vectors wanted in a list, most lists, codes of a subspace.
 SAMPLE, LIST_SIZE, MOST_LISTS, SUBSPACES, CODES = 16_384, 512, 4096, 8, 64
 CHUNK = 2048
+#: How far along the line between two centres a link may reach, in standard deviations.
+REACH = 4.0
 _ROUNDS = 8
+_PLACED_AT_ONCE = 1024
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (x @ centres.T * 2 - (centres * centres).sum(axis=1)).argmax(axis=1)
 
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of the rows of x to those of y."""
+    return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * x @ y.T, 0))
+
+
 def _centres(x: np.ndarray, n: int, draw: np.random.Generator) -> np.ndarray:
     """Means of `n` groups of the rows of x, at most as many as there are different rows."""
     centres = np.unique(x, axis=0)
@@ -64,6 +76,10 @@ class Index:
         self.centres = _centres(x, n_lists, draw)
         residual = x - self.centres[_nearest(x, self.centres)]
         self.books = [_centres(part, CODES, draw) for part in self.parts(residual)]
+        # distances between centres in units of the residuals' spread along the line between them
+        share, axes = np.linalg.eigh(residual.T @ residual)
+        total = max(float(share.sum()), 1e-300)
+        self.spread = self.centres @ (axes * np.sqrt(np.maximum(share, 0) / total))
 
     @staticmethod
     def parts(x: np.ndarray) -> list[np.ndarray]:
@@ -80,12 +96,11 @@ class Index:
     def probes(self, x: np.ndarray, own: np.ndarray, within: float) -> np.ndarray:
         """Which lists each vector must look into: its own, and of each two lists the one asks the other."""
         far = (self.centres * self.centres).sum(axis=1) - 2 * x @ self.centres.T
-        apart = np.sqrt(np.maximum(
-            (self.centres * self.centres).sum(axis=1) + (self.centres ** 2).sum(axis=1)[:, None]
-            - 2 * self.centres @ self.centres.T, 0))[own]
+        apart = _apart(self.centres[own], self.centres)
+        likely = REACH * np.maximum(_apart(self.spread[own], self.spread), apart / np.sqrt(x.shape[1]))
         at, own = np.arange(len(self.centres)), own[:, None]
         asks = (at == own) | ((at > own) == ((at + own) % 2 == 0))
-        return (far - np.take_along_axis(far, own, axis=1) <= 2 * within * apart + 1e-9) & asks
+        return (far - np.take_along_axis(far, own, axis=1) <= 2 * within * np.minimum(apart, likely) + 1e-9) & asks
 
     def distances(self, queries: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
         """Distances of queries to the coded vectors of one list, looked up in a table per query."""
@@ -136,7 +151,9 @@ def _place(shared, threshold: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes = shared.value
         for batch in batches:
-            for dim, rows, x in _rows(batch):
+            pieces = ((dim, rows[at:at + _PLACED_AT_ONCE], x[at:at + _PLACED_AT_ONCE])
+                      for dim, rows, x in _rows(batch) for at in range(0, len(rows), _PLACED_AT_ONCE))
+            for dim, rows, x in pieces:
                 own, codes, errors = indexes[dim].place(x)
                 probes = indexes[dim].probes(x, own, allowed)
                 at = pa.array(rows)
