@@ -192,9 +192,13 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete tables that `kept` wrote, once nothing will read them again."""
     for table in tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table._kept_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(table.sparkSession, table._kept_at)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of this run below the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lists(values: pa.Array, sizes) -> pa.ListArray:

@@ -23,10 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import grouped, in_arrow, kept, numbered, texts_of, window_hashes
+from gazette.llm.common import delete, grouped, in_arrow, kept, numbered, texts_of, window_hashes
 from gazette.llm.graph import components
 from gazette.llm.minhash import BLOCK, Union, band_keys, block_pairs, clusters, link_batch, permutations, signature
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
+from gazette.session import shared_dir
 
 CHARS = 5
 THRESHOLD = (4, 5)
@@ -55,6 +56,16 @@ def _lines(text: bytes) -> list[tuple[int, str]]:
     return [(i, line) for i, line in enumerate(x.strip(_ENDS) for x in text.decode().split("\n")) if line]
 
 
+#: Kinds of rows of one pass: each line's place, and the bands of lines that are new to the task.
+_EVERY, _BANDS = 0, 1
+_MADE = {"place": pa.int64(), "text_key": pa.int64(), "line": pa.int32(), "node": pa.binary(), "bands": pa.binary()}
+
+
+def _lines_batch(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
+    return pa.record_batch({
+        "kind": pa.array(np.full(n, kind, np.int32)), **{c: columns.get(c, pa.nulls(n, t)) for c, t in _MADE.items()}})
+
+
 def _signed(chars: int):
     a = permutations(BANDS * ROWS)
 
@@ -87,11 +98,10 @@ def _signed(chars: int):
                     known.clear()
                 known.update(new)
                 rows = pa.array(row, pa.int64())
-                yield pa.record_batch({
-                    "place": batch.column("place").take(rows), "text_key": batch.column("text_key").take(rows),
-                    "line": pa.array(number, pa.int32()), "node": pa.array(node, pa.binary()),
-                    "bands": pa.array([bands.pop(d, b"") for d in node], pa.binary()),
-                })
+                yield _lines_batch(
+                    _EVERY, len(node), place=batch.column("place").take(rows), text_key=batch.column("text_key").take(rows),
+                    line=pa.array(number, pa.int32()), node=pa.array(node, pa.binary()))
+                yield _lines_batch(_BANDS, len(bands), node=pa.array(bands, pa.binary()), bands=pa.array(bands.values(), pa.binary()))
 
     return work
 
@@ -183,9 +193,14 @@ def _distinct(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Every line (place, text_key, line, node) and the (node, component) of the linked ones."""
-    every = kept(
-        in_arrow(rows, _signed(chars), "place long, text_key long, line int, node binary, bands binary"), "lines")
-    found = kept(clusters(every.where("octet_length(bands) > 0").select("node", "bands"), BANDS), "line-clusters")
+    spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "lines")
+    schema = "kind int, place long, text_key long, line int, node binary, bands binary"
+    in_arrow(rows, _signed(chars), schema).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    made = spark.read.schema(schema).parquet(path)
+    every = made.where(F.col("kind") == _EVERY).select("place", "text_key", "line", "node")
+    found = kept(clusters(made.where(F.col("kind") == _BANDS).select("node", "bands"), BANDS), "line-clusters")
+    # the bands take more room than the lines and are not read again
+    delete(spark, f"{path}/kind={_BANDS}")
     n_found = found.count()
     bits = bits_for(n_found)
     seen = Seen(rows.sparkSession, in_arrow(found.select("node"), _node_sketch(bits), PARTS), 1, bits)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import as_long, in_arrow, kept, mix
+from gazette.llm.common import as_long, discard, in_arrow, kept, mix
 from gazette.llm.graph import components
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
 
@@ -120,6 +120,7 @@ def clusters(members: DataFrame, bands: int) -> DataFrame:
         .where("leader < other").drop("other"), "band-leaders")
     links = shared.join(leaders, "band").select(F.col("leader").alias("a"), F.col("node").alias("b")).where("a < b")
     found = kept(components(links), "clusters")
+    discard(shared, leaders)
     sizes = kept(
         found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks")), "cluster-sizes")
     return found.join(sizes, "component").select("node", F.col("component").alias("cluster"), "n_blocks")
