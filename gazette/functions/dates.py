@@ -102,3 +102,8 @@ def object_path(ts: Column, article_id: Column) -> Column:
 def utc_day(ts: Column) -> Column:
     """Calendar day of an instant (C17)."""
     return F.to_date(ts)
+
+
+def iso_time(epoch: Column) -> Column:
+    """Epoch seconds as ISO 8601 text in UTC."""
+    return F.date_format(F.timestamp_seconds(epoch), "yyyy-MM-dd'T'HH:mm:ss")

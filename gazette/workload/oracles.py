@@ -238,10 +238,10 @@ SELECT doc_id, source FROM documents ORDER BY sha256('7:' || doc_id), doc_id LIM
 SELECT event_id, 0 AS whole_end_day FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'
 UNION ALL
 SELECT event_id, 1 FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-21'""",
-    "export_slices": _union([
-        f"SELECT '{a}' AS start, count(*) AS objects FROM events WHERE ts BETWEEN TIMESTAMP '{a}' AND TIMESTAMP '{b}'"
-        for a, b in (("2024-01-17", "2024-01-22"), ("2024-01-23", "2024-01-27"), ("2024-01-28", "2024-01-30"))
-    ]),
+    "export_slices": f"""WITH {DOCS}
+SELECT article_id, '2024-11-16' AS start FROM docs WHERE lang IN ('fr', 'de')
+UNION ALL SELECT article_id, '2024-11-17' FROM docs WHERE lang IN ('de', 'en')
+UNION ALL SELECT article_id, '2024-11-22' FROM docs WHERE lang NOT IN ('fr', 'de')""",
     # Metadata lies over the body, and a CSV reader takes an empty title as missing.
     "export_csv": f"""WITH {DOCS} SELECT {EXPORTED} FROM docs_csv WHERE lang IN ('de', 'en')""",
     "export_json": f"""WITH {DOCS}
@@ -251,7 +251,7 @@ FROM docs WHERE lang <> 'fr'""",
   SELECT *, CASE WHEN rss = 'src1' THEN 'second write' ELSE title END AS stored FROM docs WHERE lang <> 'fr')
 SELECT article_id, '2024/11/7/' || article_id || '.json' AS path, stored AS title,
        coalesce(stored, '') AS stored_title, "unixTime"::VARCHAR AS stored_time FROM s""",
-    "listed_objects": """SELECT source, 0::BIGINT AS undated FROM documents GROUP BY source""",
+    "listed_objects": """SELECT source, 1::BIGINT AS files, 1::BIGINT AS dated_today FROM documents GROUP BY source""",
     "corrupt_records": """
 SELECT CASE WHEN lang <> 'fr' THEN doc_id END AS doc_id,
        CASE WHEN lang <> 'fr' THEN length(text) ELSE 12 END::INTEGER AS n_chars FROM documents""",

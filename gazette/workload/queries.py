@@ -462,12 +462,13 @@ def date_range_export(spark, sf_dir):
 
 @query
 def export_slices(spark, sf_dir):
-    """Objects in the three slices of a month, end days lost at midnight."""
-    e = t.event_entries(spark, sf_dir)
-    ranges = [("2024-01-17", "2024-01-22"), ("2024-01-23", "2024-01-27"), ("2024-01-28", "2024-01-30")]
+    """Stored articles exported in three slices, end days lost at midnight, and read back."""
+    ranges = [("2024-11-16", "2024-11-17"), ("2024-11-17", "2024-11-22"), ("2024-11-22", "2024-11-23")]
+    out = shared_dir(spark, "slices")
+    made = export.export_slices(spark, _stored(spark, sf_dir), out, ranges, "json")
     parts = [
-        filters.in_range(e, "ts", start, end).agg(F.count(F.lit(1)).alias("objects")).withColumn("start", F.lit(start))
-        for start, end in ranges
+        objects.read_json_lines(spark, path).select("article_id", F.lit(start).alias("start"))
+        for path, (start, _) in zip(made, ranges)
     ]
     return merge.concatenated(spark, parts)
 
@@ -533,13 +534,15 @@ def stored_articles(spark, sf_dir):
 
 @query
 def listed_objects(spark, sf_dir):
-    """Folders with files, found by listing, every file dated."""
+    """Folders with files, one written for each source, found by listing and dated on the day of writing."""
     path = shared_dir(spark, "listing")
-    t.table(spark, sf_dir, "documents").select("doc_id", "source").write.partitionBy("source").json(path)
+    docs = t.table(spark, sf_dir, "documents").select("doc_id", "source")
+    docs.repartition("source").sortWithinPartitions("source").write.partitionBy("source").json(path)
+    written = dt.datetime.now(dt.timezone.utc).date()
     days = objects.object_days(spark, path)
+    near = F.abs(F.date_diff("date", F.lit(written))) <= 1
     return days.groupBy(F.regexp_extract("Key", "/source=([^/]+)/", 1).alias("source")).agg(
-        F.count_if(F.col("date").isNull()).alias("undated")
-    )
+        F.count(F.lit(1)).alias("files"), F.count_if(near).alias("dated_today"))
 
 
 @query
