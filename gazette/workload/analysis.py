@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from gazette.operators import classify, clusters, counts, retrieval, vectors
+from gazette.operators import classify, clusters, counts, mergeable, retrieval, vectors
 from gazette.session import shared_dir
 from gazette.sinks import vector_index, vectors as vector_store
 from gazette.workload import tables as t
@@ -124,3 +124,15 @@ def vector_search_filtered(spark, sf_dir):
     indexed = vector_index.search_index(spark, _indexed(spark, sf_dir, "cosine"), asked, 5, wanted)
     shown = lambda hits, how: hits.select(F.lit(how).alias("how"), "query_id", "id", F.round("score", 4).alias("score"))
     return shown(plain, "scan").unionByName(shown(indexed, "index"))
+
+
+@query
+def monthly_profile_merged(spark, sf_dir):
+    """Events profiled by day, the states of January merged, quartiles exact."""
+    events = t.table(spark, sf_dir, "events").select(
+        "ts", "event_id", "user_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    path = shared_dir(spark, "states")
+    mergeable.write_states(mergeable.day_states(events, "ts"), path)
+    month = events.filter("ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'")
+    out = mergeable.profile_of(month, mergeable.read_states(spark, path, 2024, 1))
+    return _rounded(out, "mean", "std", "min", "25%", "50%", "75%", "max")
