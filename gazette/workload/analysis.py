@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gazette.operators import classify, clusters, counts, mergeable, retrieval, vectors
 from gazette.session import shared_dir
 from gazette.sinks import vector_index, vectors as vector_store
+from gazette.sources import pages as page_source
 from gazette.workload import tables as t
 from gazette.workload.queries import _rounded, query
 
@@ -136,3 +137,9 @@ def monthly_profile_merged(spark, sf_dir):
     month = events.filter("ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'")
     out = mergeable.profile_of(month, mergeable.read_states(spark, path, 2024, 1))
     return _rounded(out, "mean", "std", "min", "25%", "50%", "75%", "max")
+
+
+@query
+def page_main_text(spark, sf_dir):
+    """The run of blocks of every page that reads like its article."""
+    return page_source.main_texts(t.table(spark, sf_dir, "pages")).select("page_id", "content", "score")
