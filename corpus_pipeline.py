@@ -1,8 +1,15 @@
 """Preparation of a corpus: toxic documents out, lines and documents made unique, sources mixed, pieces counted.
 
 Each stage takes all that the one before it kept, from Parquet, and returns the columns
-of documents (the last one: digests of ids and decoded text). Where a stage changes a
-text, n_chars follows it.
+of documents (the last one: digests of ids, decoded text and pieces' ends). Where a stage
+changes a text, n_chars follows it; other columns stay, whatever their names.
+
+Rows: a null or empty text is clean, has no lines to lose, is no near copy of anything and
+gives the mix no words, so it leaves with the mix. A null doc_id is no bar: such rows come
+after all others in the order of lines, and are no near copies. Rows that repeat both
+doc_id and text are judged alike; of near copies one row stays, of those with one doc_id the
+one with the least hash of its text. Very long texts are read whole. An empty table goes
+through all stages and stays empty.
 """
 
 from __future__ import annotations
