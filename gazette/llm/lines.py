@@ -2,10 +2,12 @@ r"""One line kept of each group of nearly equal lines across all documents.
 
 A line is what stands between \n, without white space at its ends; lines without a word
 are left alone. Its set holds its 5-character shingles (a shorter line is one shingle).
-Equal lines are merged first. 144 MinHash samples in 24 bands of 6 propose candidate
-clusters: two lines at similarity 0.8 share no band seven times in ten thousand, at
-0.9 once in eighty million. Inside a cluster every pair is compared exactly, block by block,
-and linked at 0.8 or more. Of each component the line of the smallest (doc_id, line
+Equal lines are merged first. 144 MinHash samples in 24 bands of 6 propose pairs: two lines
+at similarity 0.8 share no band seven times in ten thousand, at 0.9 once in eighty million.
+Within a band, two bits of each sample estimate the similarity; pairs that cannot reach the
+threshold are dropped at five standard deviations, and the others join lines into candidate
+clusters, so lines that meet by chance do not pull clusters together. Inside a cluster every
+pair is compared exactly, block by block, and linked at 0.8 or more. Of each component the line of the smallest (doc_id, line
 number) stays; the others go with their line breaks.
 
 Rows: one for each document, all columns kept. Null text stays null. A null doc_id comes
@@ -23,15 +25,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import delete, grouped, in_arrow, kept, numbered, texts_of, window_hashes
+from gazette.llm.common import as_long, delete, discard, grouped, in_arrow, kept, numbered, texts_of, window_hashes
 from gazette.llm.graph import components
-from gazette.llm.minhash import BLOCK, Union, band_keys, block_pairs, clusters, link_batch, permutations, signature
+from gazette.llm.minhash import BLOCK, Union, band_keys, band_sketch, block_pairs, link_batch, permutations, signature
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
 from gazette.session import shared_dir
 
 CHARS = 5
 THRESHOLD = (4, 5)
 BANDS, ROWS = 24, 6
+#: How far below the threshold an estimate may lie: five standard deviations of two bits of each sample.
+MARGIN = 0.2
+#: Most lines of a band compared in one group, and shared bands that small ones fill a group with.
+BAND_BLOCK, PACKED, SMALL = 2048, 8192, 8
 _ENDS = " \t\n\x0b\x0c\r"
 #: Lines a task remembers so as not to hand them on twice; forgetting costs time only.
 _REMEMBERED = 200_000
@@ -58,7 +64,8 @@ def _lines(text: bytes) -> list[tuple[int, str]]:
 
 #: Kinds of rows of one pass: each line's place, and the bands of lines that are new to the task.
 _EVERY, _BANDS = 0, 1
-_MADE = {"place": pa.int64(), "text_key": pa.int64(), "line": pa.int32(), "node": pa.binary(), "bands": pa.binary()}
+_MADE = {"place": pa.int64(), "text_key": pa.int64(), "line": pa.int32(), "node": pa.binary(), "bands": pa.binary(),
+         "bits": pa.binary()}
 
 
 def _lines_batch(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -69,15 +76,17 @@ def _lines_batch(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
 def _signed(chars: int):
     a = permutations(BANDS * ROWS)
 
-    def keys_of(new: dict[bytes, str]) -> Iterator[tuple[bytes, bytes]]:
-        some, held = [], 0
-        for n, (digest, line) in enumerate(new.items()):
-            some.append(digest)
+    def keys_of(new: dict[bytes, str]) -> tuple[list[bytes], list[bytes]]:
+        some, held, bands, bits = [], 0, [], []
+        for n, line in enumerate(new.values()):
+            some.append(line)
             held += len(line)
             if held > 1 << 17 or n + 1 == len(new):
-                keys = band_keys(signature(*shingles([new[d] for d in some], chars), a), ROWS).tobytes()
-                yield from ((d, keys[8 * BANDS * i:8 * BANDS * (i + 1)]) for i, d in enumerate(some))
+                samples = signature(*shingles(some, chars), a)
+                bands += [x.tobytes() for x in band_keys(samples, ROWS)]
+                bits += [x.tobytes() for x in two_bits(samples)]
                 some, held = [], 0
+        return bands, bits
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[bytes] = set()
@@ -93,7 +102,7 @@ def _signed(chars: int):
                         node.append(digest)
                         if digest not in known:
                             new[digest] = line
-                bands = dict(keys_of(new))
+                bands, bits = keys_of(new)
                 if len(known) > _REMEMBERED:
                     known.clear()
                 known.update(new)
@@ -101,11 +110,110 @@ def _signed(chars: int):
                 yield _lines_batch(
                     _EVERY, len(node), place=batch.column("place").take(rows), text_key=batch.column("text_key").take(rows),
                     line=pa.array(number, pa.int32()), node=pa.array(node, pa.binary()))
-                yield _lines_batch(_BANDS, len(bands), node=pa.array(bands, pa.binary()), bands=pa.array(bands.values(), pa.binary()))
+                yield _lines_batch(
+                    _BANDS, len(new), node=pa.array(new, pa.binary()), bands=pa.array(bands, pa.binary()), bits=pa.array(bits, pa.binary()))
+
+    return work
+
+
+def two_bits(samples: np.ndarray) -> np.ndarray:
+    """(sets, samples / 4) bytes: two hashed bits of each MinHash sample."""
+    v = ((samples * np.uint32(0x9E3779B1)) >> np.uint32(30)).astype(np.uint8)
+    return v[:, 0::4] | v[:, 1::4] << 2 | v[:, 2::4] << 4 | v[:, 3::4] << 6
+
+
+def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Similarities estimated from rows of two bits a sample; different samples agree once in four."""
+    differ = x ^ y
+    differ = (differ | differ >> 1) & 0x55
+    return (1 - np.bitwise_count(differ).sum(axis=1) / (4 * x.shape[1]) - 0.25) / 0.75
+
+
+def _likely_bands(seen: Seen):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64)
+            passed = seen.test(keys)
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), BANDS)[passed])
+            yield pa.record_batch({
+                "band": as_long(keys[passed]), "node": batch.column("node").take(rows), "bits": batch.column("bits").take(rows)})
 
     return work
 
 
+def _near_pairs(band: np.ndarray, node: np.ndarray, bits: np.ndarray, mine: np.ndarray, low: int, high: int, floor: float,
+                union: Union) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the pairs of rows of one band, of blocks `low` and `high`, that may be alike."""
+    starts = np.flatnonzero(np.r_[True, band[1:] != band[:-1]])
+    sizes = np.diff(np.r_[starts, len(band)])
+    size = np.repeat(sizes, sizes)
+
+    def joined(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
+        ok = (node[i] != node[j]) & (((mine[i] == low) & (mine[j] == high)) | ((mine[i] == high) & (mine[j] == low)))
+        i, j = i[ok], j[ok]
+        for cut in range(0, len(i), 1 << 16):
+            a, b = i[cut:cut + (1 << 16)], j[cut:cut + (1 << 16)]
+            alike = agreement(bits[a], bits[b]) >= floor
+            for u, v in zip(node[a[alike]].tolist(), node[b[alike]].tolist()):
+                if union.join(u, v):
+                    yield u, v
+
+    for apart in range(1, SMALL):
+        i = np.flatnonzero(size <= SMALL)
+        i = i[i + apart < len(band)]
+        i = i[band[i] == band[i + apart]]
+        yield from joined(i, i + apart)
+    for start, n in zip(starts.tolist(), sizes.tolist()):
+        if n > SMALL:
+            part = lambda: np.array([union.find(x) for x in node[start:start + n].tolist()])  # noqa: B023, E731
+            roots = part()
+            for i in range(n - 1):
+                # rows joined already need no look
+                others = i + 1 + np.flatnonzero(roots[i + 1:] != roots[i])
+                if len(others):
+                    found = list(joined(np.full(len(others), start + i), start + others))
+                    yield from found
+                    roots = part() if found else roots
+
+
+def _near(floor: float):
+    def work(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = key[1].as_py(), key[2].as_py()
+        table = pa.Table.from_batches(list(batches))
+        digests = table.column("node").to_pylist()
+        band = np.array(table.column("band").to_pylist(), np.int64)
+        names, number = np.unique(np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2), axis=0, return_inverse=True)
+        order = np.lexsort((number.ravel(), band))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(band), -1)
+        mine = np.array(table.column("mine").to_pylist(), np.int64)
+        union = Union(len(names))
+        links = [(names[a].tobytes(), names[b].tobytes()) for a, b in _near_pairs(
+            band[order], number.ravel()[order], bits[order], mine[order], low, high, floor, union)]
+        yield link_batch(links, pa.binary())
+
+    return work
+
+
+def line_clusters(marked: DataFrame, floor: float) -> DataFrame:
+    """(node, cluster, n_blocks) of every line that may be alike to another; `marked` has node, bands and bits."""
+    spark = marked.sparkSession
+    bits = bits_for(marked.count() * BANDS)
+    seen = Seen(spark, in_arrow(marked.select("bands"), band_sketch(bits), PARTS), 2, bits)
+    likely = kept(in_arrow(marked, _likely_bands(seen), "band long, node binary, bits binary"), "likely-bands")
+    crowded = kept(likely.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > BAND_BLOCK).select(
+        "band", F.ceil(F.col("n") / BAND_BLOCK).cast("int").alias("n_blocks")), "crowded-bands")
+    rows = likely.join(crowded, "band", "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
+    packs = likely.count() // PACKED + 1
+    pack = F.when(F.col("n_blocks") == 1, F.pmod(F.xxhash64("band"), F.lit(packs))).otherwise(F.xxhash64("band"))
+    near = kept(grouped(
+        block_pairs(rows.withColumn("pack", pack)), ["pack", "low", "high"], _near(floor), "a binary, b binary"), "near-lines")
+    discard(likely, crowded)
+    found = kept(components(near), "clusters")
+    sizes = kept(
+        found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks")), "cluster-sizes")
+    return found.join(sizes, "component").select("node", F.col("component").alias("cluster"), "n_blocks")
+
+
 def _node_keys(nodes: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(nodes.to_pylist()), np.uint64)[::2]
 
@@ -194,11 +302,12 @@ def _distinct(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
 def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Every line (place, text_key, line, node) and the (node, component) of the linked ones."""
     spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "lines")
-    schema = "kind int, place long, text_key long, line int, node binary, bands binary"
+    schema = "kind int, place long, text_key long, line int, node binary, bands binary, bits binary"
     in_arrow(rows, _signed(chars), schema).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     made = spark.read.schema(schema).parquet(path)
     every = made.where(F.col("kind") == _EVERY).select("place", "text_key", "line", "node")
-    found = kept(clusters(made.where(F.col("kind") == _BANDS).select("node", "bands"), BANDS), "line-clusters")
+    marked = made.where(F.col("kind") == _BANDS).select("node", "bands", "bits")
+    found = kept(line_clusters(marked, threshold[0] / threshold[1] - MARGIN), "line-clusters")
     # the bands take more room than the lines and are not read again
     delete(spark, f"{path}/kind={_BANDS}")
     n_found = found.count()

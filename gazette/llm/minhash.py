@@ -83,7 +83,8 @@ def odd_similarity(differing: np.ndarray, bits: int, samples: int) -> np.ndarray
     return 1 + np.log1p(-odd) / np.log1p(-2.0 / bits) / (-2.0 * samples)
 
 
-def _sketch(bits: int):
+def band_sketch(bits: int):
+    """The sketch of a task's band keys."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from parts((np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64) for batch in batches), bits)
 
@@ -112,7 +113,7 @@ def clusters(members: DataFrame, bands: int) -> DataFrame:
     kind = dict(members.dtypes)["node"]
     node_type = pa.int64() if kind == "bigint" else pa.binary()
     bits = bits_for(members.count() * bands)
-    seen = Seen(spark, in_arrow(members.select("bands"), _sketch(bits), PARTS), 2, bits)
+    seen = Seen(spark, in_arrow(members.select("bands"), band_sketch(bits), PARTS), 2, bits)
     likely = in_arrow(members, _likely(node_type, seen), f"node {kind}, band long")
     shared = kept(likely.distinct(), "likely-bands")
     leaders = kept(
