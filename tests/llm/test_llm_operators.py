@@ -218,6 +218,47 @@ def test_lines(spark):
     assert lines.unique_lines(table(spark, [])).count() == 0
 
 
+def test_two_bits_of_each_sample_estimate_the_similarity():
+    a = minhash.permutations(lines.BANDS * lines.ROWS)
+    x = np.random.default_rng(5).integers(0, 1 << 63, 2000, dtype=np.uint64)
+    off = []
+    for seed in range(30):
+        for shared in (1000, 889, 500, 200):
+            y = np.concatenate([x[:shared], np.random.default_rng(100 + seed).integers(0, 1 << 63, 1000 - shared, dtype=np.uint64)])
+            bits = lines.two_bits(minhash.signature(np.concatenate([np.roll(x[:1000], seed), y]), np.array([0, 1000]), a))
+            off.append(lines.agreement(bits[:1], bits[1:])[0] - shared / (2000 - shared))
+    assert max(map(abs, off)) < lines.MARGIN and abs(np.mean(off)) < 0.02
+
+
+def test_rows_of_a_band_are_joined_as_all_pairs_would():
+    draw = np.random.default_rng(6)
+    bases = draw.integers(0, 256, (6, 36), dtype=np.uint8)
+    band = np.sort(draw.integers(0, 9, 150))  # small bands and bands beyond SMALL
+    bits = bases[draw.integers(0, 6, 150)].copy()
+    for row in bits:
+        row[draw.integers(0, 36, draw.integers(0, 9))] ^= 3
+    node = draw.integers(0, 120, 150)
+    for n in np.unique(node):
+        bits[node == n] = bits[np.flatnonzero(node == n)[0]]
+    mine = np.zeros(150, np.int64)
+    union = minhash.Union(120)
+    links = list(lines._near_pairs(band, node, bits, mine, 0, 0, 0.6, union))
+    want = [(int(node[i]), int(node[j])) for i in range(150) for j in range(i)
+            if band[i] == band[j] and lines.agreement(bits[i:i + 1], bits[j:j + 1])[0] >= 0.6]
+    assert brute_components(range(120), links) == brute_components(range(120), want)
+    assert len(links) < 120 and all(a != b for a, b in links)
+
+
+def test_lines_of_a_crowded_band(spark, monkeypatch):
+    line = "the same words again and again in every line of this long list of lines number"
+    rows = [(i, f"{line} {i % 60}") for i in range(90)] + [(200, "another one altogether, of its own")]
+    want = {x.doc_id: x.text for x in lines.unique_lines(table(spark, rows)).collect()}
+    monkeypatch.setattr(lines, "BAND_BLOCK", 7)
+    monkeypatch.setattr(lines, "PACKED", 16)
+    found = {x.doc_id: x.text for x in lines.unique_lines(table(spark, rows)).collect()}
+    assert found == want and sum(bool(t) for t in found.values()) == 2
+
+
 def test_lines_with_one_letter_changed_are_alike(spark):
     line = "the quick brown fox jumps over the lazy dog and runs away now"
     rows = [(1, line), (2, line.replace("lazy", "lady")), (3, line + "!!"), (4, line.replace("quick", "quiet").replace("away", "home"))]
