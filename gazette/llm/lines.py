@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import as_long, delete, discard, grouped, in_arrow, kept, numbered, texts_of, window_hashes
+from gazette.llm.common import as_long, delete, discard, grouped, in_arrow, kept, numbered, slices, texts_of, window_hashes
 from gazette.llm.graph import components
 from gazette.llm.minhash import BLOCK, Union, band_keys, band_sketch, block_pairs, link_batch, permutations, signature
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
@@ -62,10 +62,9 @@ def _lines(text: bytes) -> list[tuple[int, str]]:
     return [(i, line) for i, line in enumerate(x.strip(_ENDS) for x in text.decode().split("\n")) if line]
 
 
-#: Kinds of rows of one pass: each line's place, and the bands of lines that are new to the task.
-_EVERY, _BANDS = 0, 1
-_MADE = {"place": pa.int64(), "text_key": pa.int64(), "line": pa.int32(), "node": pa.binary(), "bands": pa.binary(),
-         "bits": pa.binary()}
+#: Kinds of rows of one pass: each line's place, and the texts of lines that are new to the task.
+_EVERY, _TEXTS = 0, 1
+_MADE = {"place": pa.int64(), "text_key": pa.int64(), "line": pa.int32(), "node": pa.binary(), "text": pa.string()}
 
 
 def _lines_batch(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -73,45 +72,41 @@ def _lines_batch(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
         "kind": pa.array(np.full(n, kind, np.int32)), **{c: columns.get(c, pa.nulls(n, t)) for c, t in _MADE.items()}})
 
 
-def _signed(chars: int):
-    a = permutations(BANDS * ROWS)
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: set[bytes] = set()
+    for whole in batches:
+        for batch in slices(whole, "text", 1000):
+            row, number, node, new = [], [], [], {}
+            for i, text in enumerate(texts_of(batch)):
+                for n, line in _lines(text):
+                    digest = xxhash.xxh3_128_digest(line.encode())
+                    row.append(i)
+                    number.append(n)
+                    node.append(digest)
+                    if digest not in known:
+                        new[digest] = line
+            if len(known) > _REMEMBERED:
+                known.clear()
+            known.update(new)
+            rows = pa.array(row, pa.int64())
+            yield _lines_batch(
+                _EVERY, len(node), place=batch.column("place").take(rows), text_key=batch.column("text_key").take(rows),
+                line=pa.array(number, pa.int32()), node=pa.array(node, pa.binary()))
+            yield _lines_batch(_TEXTS, len(new), node=pa.array(new, pa.binary()), text=pa.array(new.values(), pa.string()))
+
 
-    def keys_of(new: dict[bytes, str]) -> tuple[list[bytes], list[bytes]]:
-        some, held, bands, bits = [], 0, [], []
-        for n, line in enumerate(new.values()):
-            some.append(line)
-            held += len(line)
-            if held > 1 << 17 or n + 1 == len(new):
-                samples = signature(*shingles(some, chars), a)
-                bands += [x.tobytes() for x in band_keys(samples, ROWS)]
-                bits += [x.tobytes() for x in two_bits(samples)]
-                some, held = [], 0
-        return bands, bits
+def _sampled(chars: int):
+    """Band keys and two bits of each MinHash sample for lines."""
+    a = permutations(BANDS * ROWS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[bytes] = set()
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                row, number, node, new = [], [], [], {}
-                for i, text in enumerate(texts_of(batch)):
-                    for n, line in _lines(text):
-                        digest = xxhash.xxh3_128_digest(line.encode())
-                        row.append(i)
-                        number.append(n)
-                        node.append(digest)
-                        if digest not in known:
-                            new[digest] = line
-                bands, bits = keys_of(new)
-                if len(known) > _REMEMBERED:
-                    known.clear()
-                known.update(new)
-                rows = pa.array(row, pa.int64())
-                yield _lines_batch(
-                    _EVERY, len(node), place=batch.column("place").take(rows), text_key=batch.column("text_key").take(rows),
-                    line=pa.array(number, pa.int32()), node=pa.array(node, pa.binary()))
-                yield _lines_batch(
-                    _BANDS, len(new), node=pa.array(new, pa.binary()), bands=pa.array(bands, pa.binary()), bits=pa.array(bits, pa.binary()))
+            for batch in slices(whole, "text", 1 << 16, 1 << 17):
+                samples = signature(*shingles(batch.column("text").to_pylist(), chars), a)
+                yield pa.record_batch({
+                    "node": batch.column("node"), "text": batch.column("text"),
+                    "bands": pa.array([x.tobytes() for x in band_keys(samples, ROWS)], pa.binary()),
+                    "bits": pa.array([x.tobytes() for x in two_bits(samples)], pa.binary())})
 
     return work
 
@@ -214,47 +209,6 @@ def line_clusters(marked: DataFrame, floor: float) -> DataFrame:
     return found.join(sizes, "component").select("node", F.col("component").alias("cluster"), "n_blocks")
 
 
-def _node_keys(nodes: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(nodes.to_pylist()), np.uint64)[::2]
-
-
-def _node_sketch(bits: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from parts((_node_keys(batch.column("node")) for batch in batches), bits)
-
-    return work
-
-
-def _texts(seen: Seen):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[bytes] = set()
-        for batch in batches:
-            new, held = {}, 0
-            for text in texts_of(batch):
-                for _, line in _lines(text):
-                    digest = xxhash.xxh3_128_digest(line.encode())
-                    if digest not in known and digest not in new:
-                        new[digest] = line
-                        held += len(line)
-                if held > 1 << 22:
-                    yield _found(new, seen)
-                    known.update(new)
-                    new, held = {}, 0
-            if new:
-                yield _found(new, seen)
-            if len(known) > _REMEMBERED:
-                known.clear()
-            known.update(new)
-
-    return work
-
-
-def _found(lines: dict[bytes, str], seen: Seen) -> pa.RecordBatch:
-    nodes, texts = pa.array(lines, pa.binary()), pa.array(lines.values(), pa.string())
-    passed = pa.array(seen.test(_node_keys(nodes)))
-    return pa.record_batch({"node": nodes.filter(passed), "text": texts.filter(passed)})
-
-
 def _compare(chars: int, threshold: tuple[int, int]):
     def work(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = key[1].as_py(), key[2].as_py()
@@ -302,26 +256,26 @@ def _distinct(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
 def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Every line (place, text_key, line, node) and the (node, component) of the linked ones."""
     spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "lines")
-    schema = "kind int, place long, text_key long, line int, node binary, bands binary, bits binary"
-    in_arrow(rows, _signed(chars), schema).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    schema = "kind int, place long, text_key long, line int, node binary, text string"
+    in_arrow(rows, _split, schema).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     made = spark.read.schema(schema).parquet(path)
     every = made.where(F.col("kind") == _EVERY).select("place", "text_key", "line", "node")
-    marked = made.where(F.col("kind") == _BANDS).select("node", "bands", "bits")
-    found = kept(line_clusters(marked, threshold[0] / threshold[1] - MARGIN), "line-clusters")
-    # the bands take more room than the lines and are not read again
-    delete(spark, f"{path}/kind={_BANDS}")
+    # each different line is sampled once, wherever it occurs
+    different = made.where(F.col("kind") == _TEXTS).groupBy("node").agg(F.first("text").alias("text"))
+    sampled = kept(in_arrow(different, _sampled(chars), "node binary, text string, bands binary, bits binary"), "sampled-lines")
+    delete(spark, f"{path}/kind={_TEXTS}")
+    found = kept(line_clusters(sampled.select("node", "bands", "bits"), threshold[0] / threshold[1] - MARGIN), "line-clusters")
     n_found = found.count()
-    bits = bits_for(n_found)
-    seen = Seen(rows.sparkSession, in_arrow(found.select("node"), _node_sketch(bits), PARTS), 1, bits)
-    texts = in_arrow(rows.select("text"), _texts(seen), "node binary, text string").groupBy("node").agg(
-        F.first("text").alias("text"))
+    texts = sampled.select("node", "text")
     # clusters of one block share groups of about a block's size; a larger one has its own
     cluster = F.xxhash64("cluster")
     pack = F.when(F.col("n_blocks") == 1, F.pmod(cluster, F.lit(n_found // BLOCK + 1))).otherwise(cluster)
     links = grouped(
         block_pairs(found.join(texts, "node").withColumn("pack", pack)), ["pack", "low", "high"],
         _compare(chars, threshold), "a binary, b binary")
-    return every, components(kept(links, "line-links"))
+    links = kept(links, "line-links")
+    discard(sampled)
+    return every, components(links)
 
 
 def unique_lines(docs: DataFrame, chars: int = CHARS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
