@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -303,6 +304,35 @@ def test_search_is_bm25(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*bucket", plan) and re.search(r"PushedFilters: \[.*term", plan)
 
 
+@pytest.mark.parametrize("words, articles", [(1 << 21, 1 << 14), (40, 1 << 14), (1 << 21, 3), (1, 1)])
+def test_a_block_of_articles_makes_one_row_a_term(spark, monkeypatch, words, articles):
+    monkeypatch.setattr(retrieval, "BLOCK_WORDS", words)
+    monkeypatch.setattr(retrieval, "BLOCK_ARTICLES", articles)
+    texts = ["Red grey.", "red red blue", None, "...", "grey " * 90, ""] * 20 + ["one"]
+    docs = spark.createDataFrame([(i % 50, x) for i, x in enumerate(texts)], "doc_id int, text string").coalesce(1)
+    rows = retrieval.postings(docs, "doc_id", "text").collect()
+    want = Counter(
+        (term, str(i % 50), n, len(words_of(x or "")))
+        for i, x in enumerate(texts) for term, n in Counter(words_of(x or "")).items())
+    assert Counter((r.term, *hit) for r in rows for hit in zip(r.ids, r.ns, r.lengths)) == want
+    full = [words_of(x) for x in texts if words_of(x or "")]
+    assert sum(r.articles for r in rows) == len(full) and sum(r.words for r in rows) == sum(map(len, full))
+    assert max(len(r.ids) for r in rows) <= articles
+    if words > 40 and articles > 3:
+        assert sorted(r.term for r in rows) == ["blue", "grey", "one", "red"]
+
+
+def test_repeated_articles_of_one_length_are_one_hit(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "red grey"), (1, "red blue"), (1, "red"), (None, "red"), (2, "blue")], "doc_id int, text string")
+    path = str(tmp_path / "i")
+    retrieval.write_index(docs, "doc_id", "text", path, buckets=8)
+    assert spark.read.parquet(f"{path}/totals").first()[:2] == (5, 7)
+    got = {r.id: r.score for r in retrieval.search_words(spark, path, {"q": "red"}, 9).collect()}
+    # (1, two words) has the term twice, (1, one word) and (null, one word) once: three articles have it
+    weight = lambda n, length: math.log(1 + 2.5 / 3.5) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * length / 1.4))
+    assert got == pytest.approx({"1": weight(2, 2) + weight(1, 1), None: weight(1, 1)})
+
+
 def test_lists_are_joined_by_reciprocal_rank(spark):
     lists = [[("q", "a", 1), ("q", "b", 2), ("p", "a", 1)], [("q", "b", 1), ("q", "c", 2)]]
     frames = [spark.createDataFrame(x, "query string, id string, rank int") for x in lists]
