@@ -95,16 +95,45 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _lines_batch(_TEXTS, len(new), node=pa.array(new, pa.binary()), text=pa.array(new.values(), pa.string()))
 
 
-def _sampled(chars: int):
-    """Band keys and two bits of each MinHash sample for lines."""
+def _node_keys(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("node").to_pylist()), np.uint64)[::2]
+
+
+def _node_sketch(bits: int):
+    """The sketch of a task's lines."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from parts((_node_keys(batch) for batch in batches), bits)
+
+    return work
+
+
+def _seen_nodes(nodes: DataFrame, n: int, at_least: int) -> Seen:
+    """Which of `n` nodes may occur so often; a bitmap, so rows are told apart without a shuffle."""
+    bits = bits_for(n)
+    return Seen(nodes.sparkSession, in_arrow(nodes.select("node"), _node_sketch(bits), PARTS), at_least, bits)
+
+
+def _passing(seen: Seen):
+    """The rows whose node may occur often enough."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(seen.test(_node_keys(batch))))
+
+    return work
+
+
+def _sampled(chars: int, apart: Seen | None = None):
+    """Band keys and two bits of each MinHash sample for lines; not for those `apart` has seen."""
     a = permutations(BANDS * ROWS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            if apart is not None:
+                whole = whole.filter(pa.array(~apart.test(_node_keys(whole))))
             for batch in slices(whole, "text", 1 << 16, 1 << 17):
                 samples = signature(*shingles(batch.column("text").to_pylist(), chars), a)
                 yield pa.record_batch({
-                    "node": batch.column("node"), "text": batch.column("text"),
+                    "node": batch.column("node"),
                     "bands": pa.array([x.tobytes() for x in band_keys(samples, ROWS)], pa.binary()),
                     "bits": pa.array([x.tobytes() for x in two_bits(samples)], pa.binary())})
 
@@ -232,13 +261,17 @@ def _alike(
     num, den = threshold
     values, starts = shingles(text, chars)
     owner = np.repeat(np.arange(len(text)), np.diff(np.r_[starts, len(values)]))
-    distinct, owner = _distinct(values, owner)
-    ids = np.unique(distinct, return_inverse=True)[1]
+    ids = np.unique(values, return_inverse=True)[1]
+    n_ids = int(ids.max()) + 1
+    # a shingle counts once in a line
+    owner, ids = np.divmod(np.unique(owner * n_ids + ids), n_ids)
     sizes = np.bincount(owner, minlength=len(text))
     edges = np.r_[0, np.cumsum(sizes)]
     links, union = [], Union(len(text))
     for i in np.flatnonzero(mine == low).tolist():
-        has = np.zeros(len(ids) + 1, bool)
+        if len(links) == len(text) - 1:
+            break  # all are joined
+        has = np.zeros(n_ids, bool)
         has[ids[edges[i]:edges[i + 1]]] = True
         shared = np.bincount(owner[has[ids]], minlength=len(text))
         alike = (den * shared >= num * (sizes + sizes[i] - shared)) & (mine == high)
@@ -246,13 +279,6 @@ def _alike(
     return links
 
 
-def _distinct(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((values, owner))
-    values, owner = values[order], owner[order]
-    new = np.r_[True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])]
-    return values[new], owner[new]
-
-
 def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Every line (place, text_key, line, node) and the (node, component) of the linked ones."""
     spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "lines")
@@ -260,21 +286,27 @@ def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tup
     in_arrow(rows, _split, schema).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     made = spark.read.schema(schema).parquet(path)
     every = made.where(F.col("kind") == _EVERY).select("place", "text_key", "line", "node")
-    # each different line is sampled once, wherever it occurs
-    different = made.where(F.col("kind") == _TEXTS).groupBy("node").agg(F.first("text").alias("text"))
-    sampled = kept(in_arrow(different, _sampled(chars), "node binary, text string, bands binary, bits binary"), "sampled-lines")
-    delete(spark, f"{path}/kind={_TEXTS}")
-    found = kept(line_clusters(sampled.select("node", "bands", "bits"), threshold[0] / threshold[1] - MARGIN), "line-clusters")
+    texts = made.where(F.col("kind") == _TEXTS).select("node", "text")
+    # each different line is sampled once; only the texts of lines that several tasks may have are shuffled for it
+    again = _seen_nodes(texts, texts.count(), 2)
+    shared = in_arrow(texts, _passing(again), "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
+    marks = "node binary, bands binary, bits binary"
+    sampled = kept(
+        in_arrow(texts, _sampled(chars, again), marks).unionByName(in_arrow(shared, _sampled(chars), marks)), "sampled-lines")
+    found = kept(line_clusters(sampled, threshold[0] / threshold[1] - MARGIN), "line-clusters")
+    discard(sampled)
     n_found = found.count()
-    texts = sampled.select("node", "text")
+    # nor do texts of lines without a cluster move
+    wanted = in_arrow(texts, _passing(_seen_nodes(found, n_found, 1)), "node binary, text string")
+    members = found.join(wanted, "node").groupBy("node", "cluster", "n_blocks").agg(F.first("text").alias("text"))
     # clusters of one block share groups of about a block's size; a larger one has its own
     cluster = F.xxhash64("cluster")
     pack = F.when(F.col("n_blocks") == 1, F.pmod(cluster, F.lit(n_found // BLOCK + 1))).otherwise(cluster)
     links = grouped(
-        block_pairs(found.join(texts, "node").withColumn("pack", pack)), ["pack", "low", "high"],
+        block_pairs(members.withColumn("pack", pack)), ["pack", "low", "high"],
         _compare(chars, threshold), "a binary, b binary")
     links = kept(links, "line-links")
-    discard(sampled)
+    delete(spark, f"{path}/kind={_TEXTS}")
     return every, components(links)
 
 

@@ -19,6 +19,7 @@ from gazette.llm.common import grouped, mix
 ROWS = 2
 MIN_BITS, MAX_BITS = 20, 28
 _BLOCK_BITS = 16
+_COUNTED = 1 << 18
 _ODD = [np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
 
 PARTS = "sketch_row int, sketch_block int, sketch_cells binary"
@@ -66,11 +67,21 @@ def parts(keys: Iterable[np.ndarray], bits: int, flush: int = 1 << 20) -> Iterat
 
 def _merged(at_least: int):
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << _BLOCK_BITS, np.uint8)
+        seen, held, n = np.zeros(1 << _BLOCK_BITS, np.uint8), [], 0
+
+        def added() -> np.ndarray:
+            counts = np.bincount(np.concatenate(held), minlength=1 << _BLOCK_BITS)
+            return np.minimum(seen + counts, 2).astype(np.uint8)
+
         for batch in batches:
             for cells in batch.column("sketch_cells"):
-                counts = np.bincount(np.frombuffer(cells.as_py(), "<u2"), minlength=1 << _BLOCK_BITS)
-                seen = np.minimum(seen + counts, 2).astype(np.uint8)
+                held.append(np.frombuffer(cells.as_py(), "<u2"))
+                n += len(held[-1])
+                # many short parts are counted at a time
+                if n >= _COUNTED:
+                    seen, held, n = added(), [], 0
+        if held:
+            seen = added()
         yield pa.record_batch({
             "sketch_row": pa.array([key[0].as_py()], pa.int32()),
             "sketch_block": pa.array([key[1].as_py()], pa.int32()),

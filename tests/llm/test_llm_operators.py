@@ -218,6 +218,25 @@ def test_lines(spark):
     assert lines.unique_lines(table(spark, [])).count() == 0
 
 
+def test_lines_are_sampled_once_without_their_texts(spark, monkeypatch):
+    plain, sampled = lines.kept, []
+
+    def watched(df, name):
+        back = plain(df, name)
+        if name == "sampled-lines":
+            sampled.append((back.columns, [bytes(x.node) for x in back.select("node").collect()]))
+        return back
+
+    monkeypatch.setattr(lines, "kept", watched)
+    own = {i: f"line {i} of document {zlib.crc32(str(i).encode())} stands alone {i * i}" for i in range(40)}
+    rows = [(i, f"a line that all of the documents have\n{own[i]}\n{own[i // 2]}") for i in own]
+    out = lines.unique_lines(table(spark, rows).repartition(5)).collect()
+    (columns, nodes), = sampled
+    assert columns == ["node", "bands", "bits"]
+    assert len(nodes) == len(set(nodes)) == 41
+    assert sum(x.n_lines - x.n_removed for x in out) == 41
+
+
 def test_two_bits_of_each_sample_estimate_the_similarity():
     a = minhash.permutations(lines.BANDS * lines.ROWS)
     x = np.random.default_rng(5).integers(0, 1 << 63, 2000, dtype=np.uint64)
