@@ -25,11 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import as_long, delete, discard, grouped, in_arrow, kept, numbered, slices, texts_of, window_hashes
+from gazette.llm.common import as_long, discard, fixed, grouped, in_arrow, kept, numbered, slices, texts_of, window_hashes
 from gazette.llm.graph import components
 from gazette.llm.minhash import BLOCK, Union, band_keys, band_sketch, block_pairs, link_batch, permutations, signature
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
-from gazette.session import shared_dir
 
 CHARS = 5
 THRESHOLD = (4, 5)
@@ -38,7 +37,7 @@ BANDS, ROWS = 24, 6
 MARGIN = 0.2
 #: Most lines of a band compared in one group, and shared bands that small ones fill a group with.
 BAND_BLOCK, PACKED, SMALL = 2048, 8192, 8
-_ENDS = " \t\n\x0b\x0c\r"
+_ENDS = b" \t\n\x0b\x0c\r"
 #: Lines a task remembers so as not to hand them on twice; forgetting costs time only.
 _REMEMBERED = 200_000
 _LAST = (1 << 63) - 1
@@ -58,45 +57,35 @@ def shingles(lines: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
     return window_hashes(points, chars)[inside[:len(points) - chars + 1]], starts
 
 
-def _lines(text: bytes) -> list[tuple[int, str]]:
-    return [(i, line) for i, line in enumerate(x.strip(_ENDS) for x in text.decode().split("\n")) if line]
-
-
-#: Kinds of rows of one pass: each line's place, and the texts of lines that are new to the task.
-_EVERY, _TEXTS = 0, 1
-_MADE = {"place": pa.int64(), "text_key": pa.int64(), "line": pa.int32(), "node": pa.binary(), "text": pa.string()}
-
-
-def _lines_batch(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
-    return pa.record_batch({
-        "kind": pa.array(np.full(n, kind, np.int32)), **{c: columns.get(c, pa.nulls(n, t)) for c, t in _MADE.items()}})
+def _lines(text: bytes) -> list[tuple[int, bytes]]:
+    return [(i, line) for i, line in enumerate(x.strip(_ENDS) for x in text.split(b"\n")) if line]
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line's place; its text too where it is new to the task."""
     known: set[bytes] = set()
     for whole in batches:
         for batch in slices(whole, "text", 1000):
-            row, number, node, new = [], [], [], {}
+            row, number, node, new = [], [], [], []
             for i, text in enumerate(texts_of(batch)):
                 for n, line in _lines(text):
-                    digest = xxhash.xxh3_128_digest(line.encode())
+                    digest = xxhash.xxh3_128_digest(line)
                     row.append(i)
                     number.append(n)
                     node.append(digest)
-                    if digest not in known:
-                        new[digest] = line
+                    new.append(None if digest in known else line)
+                    known.add(digest)
             if len(known) > _REMEMBERED:
                 known.clear()
-            known.update(new)
             rows = pa.array(row, pa.int64())
-            yield _lines_batch(
-                _EVERY, len(node), place=batch.column("place").take(rows), text_key=batch.column("text_key").take(rows),
-                line=pa.array(number, pa.int32()), node=pa.array(node, pa.binary()))
-            yield _lines_batch(_TEXTS, len(new), node=pa.array(new, pa.binary()), text=pa.array(new.values(), pa.string()))
+            yield pa.record_batch({
+                "place": batch.column("place").take(rows), "text_key": batch.column("text_key").take(rows),
+                "line": pa.array(number, pa.int32()), "node": pa.array(node, pa.binary()),
+                "text": pa.array(new, pa.binary()).cast(pa.string())})
 
 
 def _node_keys(batch: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("node").to_pylist()), np.uint64)[::2]
+    return fixed(batch.column("node"), np.uint64)[::2]
 
 
 def _node_sketch(bits: int):
@@ -156,7 +145,7 @@ def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _likely_bands(seen: Seen):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64)
+            keys = fixed(batch.column("bands"), np.uint64)
             passed = seen.test(keys)
             rows = pa.array(np.repeat(np.arange(batch.num_rows), BANDS)[passed])
             yield pa.record_batch({
@@ -200,30 +189,42 @@ def _near_pairs(band: np.ndarray, node: np.ndarray, bits: np.ndarray, mine: np.n
                     roots = part() if found else roots
 
 
+def _numbers(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different digests in order, and which of them each row has."""
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    ordered = digests[order]
+    new = np.r_[True, (ordered[1:] != ordered[:-1]).any(axis=1)]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], number
+
+
 def _near(floor: float):
     def work(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = key[1].as_py(), key[2].as_py()
         table = pa.Table.from_batches(list(batches))
-        digests = table.column("node").to_pylist()
-        band = np.array(table.column("band").to_pylist(), np.int64)
-        names, number = np.unique(np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2), axis=0, return_inverse=True)
-        order = np.lexsort((number.ravel(), band))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(band), -1)
-        mine = np.array(table.column("mine").to_pylist(), np.int64)
+        band, mine = (table.column(c).to_numpy().astype(np.int64) for c in ("band", "mine"))
+        names, number = _numbers(fixed(table.column("node"), np.uint64).reshape(-1, 2))
+        order = np.lexsort((number, band))
+        bits = fixed(table.column("bits"), np.uint8).reshape(len(band), -1)
         union = Union(len(names))
         links = [(names[a].tobytes(), names[b].tobytes()) for a, b in _near_pairs(
-            band[order], number.ravel()[order], bits[order], mine[order], low, high, floor, union)]
+            band[order], number[order], bits[order], mine[order], low, high, floor, union)]
         yield link_batch(links, pa.binary())
 
     return work
 
 
 def line_clusters(marked: DataFrame, floor: float) -> DataFrame:
-    """(node, cluster, n_blocks) of every line that may be alike to another; `marked` has node, bands and bits."""
+    """(node, cluster, n_blocks) of every line that may be alike to another.
+
+    `marked` has node, bands and bits; it comes from `kept` and is deleted once its likely bands stand.
+    """
     spark = marked.sparkSession
     bits = bits_for(marked.count() * BANDS)
     seen = Seen(spark, in_arrow(marked.select("bands"), band_sketch(bits), PARTS), 2, bits)
     likely = kept(in_arrow(marked, _likely_bands(seen), "band long, node binary, bits binary"), "likely-bands")
+    discard(marked)
     crowded = kept(likely.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > BAND_BLOCK).select(
         "band", F.ceil(F.col("n") / BAND_BLOCK).cast("int").alias("n_blocks")), "crowded-bands")
     rows = likely.join(crowded, "band", "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
@@ -243,58 +244,77 @@ def _compare(chars: int, threshold: tuple[int, int]):
         low, high = key[1].as_py(), key[2].as_py()
         table = pa.Table.from_batches(list(batches))
         node, mine = table.column("node").to_pylist(), np.array(table.column("mine").to_pylist())
-        text, members, links = table.column("text").to_pylist(), {}, []
+        members, links = {}, []
         for i, cluster in enumerate(table.column("cluster").to_pylist()):
             members.setdefault(cluster, []).append(i)
+        sets = _sets(table.column("text").to_pylist(), chars)
         for rows in members.values():
-            links += [(node[rows[i]], node[rows[j]]) for i, j in _alike(
-                [text[i] for i in rows], mine[rows], low, high, chars, threshold)]
+            links += [(node[rows[i]], node[rows[j]]) for i, j in _alike([sets[i] for i in rows], mine[rows], low, high, threshold)]
         yield link_batch(links, pa.binary())
 
     return work
 
 
-def _alike(
-    text: list[str], mine: np.ndarray, low: int, high: int, chars: int, threshold: tuple[int, int],
-) -> list[tuple[int, int]]:
+def _sets(lines: list[str], chars: int) -> list[np.ndarray]:
+    """Each line's different shingles, ascending."""
+    values, starts = shingles(lines, chars)
+    found = []
+    for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(values)]):
+        part = np.sort(values[low:high])
+        found.append(part[np.r_[True, part[1:] != part[:-1]]])
+    return found
+
+
+def _alike(sets: list[np.ndarray], mine: np.ndarray, low: int, high: int, threshold: tuple[int, int]) -> list[tuple[int, int]]:
     """A spanning forest of the pairs of one cluster's blocks `low` and `high` that reach the threshold."""
     num, den = threshold
-    values, starts = shingles(text, chars)
-    owner = np.repeat(np.arange(len(text)), np.diff(np.r_[starts, len(values)]))
-    ids = np.unique(values, return_inverse=True)[1]
-    n_ids = int(ids.max()) + 1
-    # a shingle counts once in a line
-    owner, ids = np.divmod(np.unique(owner * n_ids + ids), n_ids)
-    sizes = np.bincount(owner, minlength=len(text))
-    edges = np.r_[0, np.cumsum(sizes)]
-    links, union = [], Union(len(text))
+    sizes = np.array([len(x) for x in sets])
+    place = np.arange(len(sets))
+    links, union, roots, table = [], Union(len(sets)), place, None
     for i in np.flatnonzero(mine == low).tolist():
-        if len(links) == len(text) - 1:
-            break  # all are joined
-        has = np.zeros(n_ids, bool)
-        has[ids[edges[i]:edges[i + 1]]] = True
-        shared = np.bincount(owner[has[ids]], minlength=len(text))
-        alike = (den * shared >= num * (sizes + sizes[i] - shared)) & (mine == high)
-        links += [(i, j) for j in np.flatnonzero(alike).tolist() if j != i and union.join(i, j)]
+        # lines that are joined already need no look, nor those that are too long or too short
+        others = np.flatnonzero(
+            (mine == high) & (place > (i if low == high else -1)) & (roots != roots[i])
+            & (den * np.minimum(sizes, sizes[i]) >= num * np.maximum(sizes, sizes[i])))
+        if len(others) == 0:
+            continue
+        if len(others) < 3:
+            shared = np.array([_shared(sets[i], sets[j]) for j in others.tolist()])
+        else:
+            if table is None:
+                # the shingles of all lines, numbered
+                ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+                table, edges, n_ids = np.split(ids, np.cumsum(sizes)[:-1]), np.r_[0, np.cumsum(sizes)], int(ids.max()) + 1
+            has = np.zeros(n_ids, bool)
+            has[table[i]] = True
+            if 2 * len(others) > len(sets):
+                shared = np.add.reduceat(has[ids], edges[:-1], dtype=np.int64)[others]
+            else:
+                shared = np.array([np.count_nonzero(has[table[j]]) for j in others.tolist()])
+        alike = others[den * shared >= num * (sizes[others] + sizes[i] - shared)]
+        if len(alike):
+            links += [(i, j) for j in alike.tolist() if union.join(i, j)]
+            roots = np.array([union.find(j) for j in range(len(sets))])
     return links
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.concatenate((x, y))
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """Every line (place, text_key, line, node) and the (node, component) of the linked ones."""
-    spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "lines")
-    schema = "kind int, place long, text_key long, line int, node binary, text string"
-    in_arrow(rows, _split, schema).write.option("compression", "zstd").partitionBy("kind").parquet(path)
-    made = spark.read.schema(schema).parquet(path)
-    every = made.where(F.col("kind") == _EVERY).select("place", "text_key", "line", "node")
-    texts = made.where(F.col("kind") == _TEXTS).select("node", "text")
+    """Every line (place, text_key, line, node, text), from `kept`, and the (node, component) of the linked ones."""
+    made = kept(in_arrow(rows, _split, "place long, text_key long, line int, node binary, text string"), "lines")
+    texts = made.where("text is not null").select("node", "text")
     # each different line is sampled once; only the texts of lines that several tasks may have are shuffled for it
-    again = _seen_nodes(texts, texts.count(), 2)
+    again = _seen_nodes(texts, made.count(), 2)
     shared = in_arrow(texts, _passing(again), "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
     marks = "node binary, bands binary, bits binary"
     sampled = kept(
         in_arrow(texts, _sampled(chars, again), marks).unionByName(in_arrow(shared, _sampled(chars), marks)), "sampled-lines")
     found = kept(line_clusters(sampled, threshold[0] / threshold[1] - MARGIN), "line-clusters")
-    discard(sampled)
     n_found = found.count()
     # nor do texts of lines without a cluster move
     wanted = in_arrow(texts, _passing(_seen_nodes(found, n_found, 1)), "node binary, text string")
@@ -305,9 +325,7 @@ def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tup
     links = grouped(
         block_pairs(members.withColumn("pack", pack)), ["pack", "low", "high"],
         _compare(chars, threshold), "a binary, b binary")
-    links = kept(links, "line-links")
-    delete(spark, f"{path}/kind={_TEXTS}")
-    return every, components(links)
+    return made, components(kept(links, "line-links"))
 
 
 def unique_lines(docs: DataFrame, chars: int = CHARS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -327,11 +345,13 @@ def unique_lines(docs: DataFrame, chars: int = CHARS, threshold: tuple[int, int]
         .select("node", "first", F.coalesce("component", "node").alias("component")))
     classes = kept(classes, "line-classes")
     keepers = kept(classes.groupBy("component").agg(F.min("first").alias("keeper")), "line-keepers")
-    gone = (
-        every.select("place", "text_key", "line", "node")
-        .join(kept(classes.join(keepers, "component").select("node", "keeper"), "class-keepers"), "node")
+    class_keepers = kept(classes.join(keepers, "component").select("node", "keeper"), "class-keepers")
+    # the lines and what was shuffled for them go before the documents are shuffled
+    gone = kept(
+        every.select("place", "text_key", "line", "node").join(class_keepers, "node")
         .where(here != F.col("keeper"))
-        .groupBy("place", "text_key").agg(F.collect_set("line").alias("gone")))
+        .groupBy("place", "text_key").agg(F.collect_set("line").alias("gone")), "gone-lines")
+    discard(every, classes, keepers, class_keepers)
     names = [(f"c{i}", n) for i, n in enumerate(docs.columns) if n.lower() not in ("n_lines", "n_removed")]
     lines = F.split(text, "\n", -1)
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("all_lines") - 1), F.col("gone")),

@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import as_long, discard, in_arrow, kept, mix
+from gazette.llm.common import as_long, discard, fixed, in_arrow, kept, mix
 from gazette.llm.graph import components
 from gazette.llm.sketch import PARTS, Seen, bits_for, parts
 
 #: Most members of a cluster in one block; two blocks meet in one group.
 BLOCK = 256
-_CACHED = 2048
+_CACHED = 8192
 
 
 def permutations(n: int) -> np.ndarray:
@@ -86,7 +86,7 @@ def odd_similarity(differing: np.ndarray, bits: int, samples: int) -> np.ndarray
 def band_sketch(bits: int):
     """The sketch of a task's band keys."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from parts((np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64) for batch in batches), bits)
+        yield from parts((fixed(batch.column("bands"), np.uint64) for batch in batches), bits)
 
     return work
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm.common import grouped, mix
+from gazette.llm.common import grouped, mix, shuffles_deleted
 
 ROWS = 2
 MIN_BITS, MAX_BITS = 20, 28
@@ -95,11 +95,12 @@ class Seen:
     """Which keys may occur often enough; travels to the tasks as a broadcast."""
 
     def __init__(self, spark: SparkSession, merged_parts: DataFrame, at_least: int, bits: int):
-        merged = grouped(merged_parts, ["sketch_row", "sketch_block"], _merged(at_least), PARTS)
         bitmaps = np.zeros((ROWS, 1 << max(bits, _BLOCK_BITS) - 3), np.uint8)
         size = 1 << (_BLOCK_BITS - 3)
         # one job; the blocks are at most the bitmap's size
-        for row in merged.collect():
+        with shuffles_deleted(spark):
+            rows = grouped(merged_parts, ["sketch_row", "sketch_block"], _merged(at_least), PARTS).collect()
+        for row in rows:
             at = row.sketch_block * size
             bitmaps[row.sketch_row, at:at + size] = np.frombuffer(bytes(row.sketch_cells), np.uint8)
         self.bits = bits

@@ -1,14 +1,16 @@
 """Operators against brute force on small tables, and on awkward rows."""
 
+import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gazette.llm import graph, lines, minhash, mixing, neardup, pii, quality, sketch, substrings, toxicity, vectors, warc
+from gazette.llm import common, graph, lines, minhash, mixing, neardup, pii, quality, sketch, substrings, toxicity, vectors, warc
 from gazette.llm.common import window_hashes
 
 SCHEMA = "doc_id long, text string, n_words string, kept string, component_id string, size string, Text_ string"
@@ -237,6 +239,62 @@ def test_lines_are_sampled_once_without_their_texts(spark, monkeypatch):
     assert sum(x.n_lines - x.n_removed for x in out) == 41
 
 
+def test_tables_of_lines_go_when_they_were_read(spark, tmp_path, monkeypatch):
+    plain, standing, n = lines.kept, {}, itertools.count()
+    monkeypatch.setattr(common, "shared_dir", lambda session, name: str(tmp_path / f"{name}-{next(n)}"))
+    tables = lambda: {x.name.rsplit("-", 1)[0] for x in tmp_path.iterdir()}
+
+    def watched(df, name):
+        back = plain(df, name)
+        standing[name] = tables()
+        return back
+
+    monkeypatch.setattr(lines, "kept", watched)
+    rows = [(i, f"a line that all of the documents have\nline {i} of document {i * i} is this one") for i in range(40)]
+    left = lines.unique_lines(table(spark, rows).repartition(5))
+    assert "sampled-lines" not in standing["near-lines"] and "lines" in standing["near-lines"]
+    assert not {"lines", "sampled-lines", "likely-bands"} & tables()
+    assert left.where("n_lines = 2 and n_removed >= 1").count() == 39
+
+
+def test_shuffles_go_when_their_table_is_kept(spark):
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files))
+
+    before, setting = shuffled(), spark.conf.get(common._CLEANUP, None)
+    keys = spark.range(0, 5000, 1, 4).selectExpr("id % 100 as k", "id")
+    back = common.kept(keys.groupBy("k").agg(F.sum("id").alias("n")), "sums")
+    seen = sketch.Seen(spark, common.in_arrow(
+        keys.select(F.col("k").cast("long").alias("k")),
+        lambda batches: sketch.parts((b.column("k").to_numpy().astype(np.uint64) for b in batches), 20), sketch.PARTS), 2, 20)
+    until = time.time() + 20  # they are deleted beside what runs next
+    while time.time() < until and shuffled() - before:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(common._CLEANUP, None) == setting
+    assert back.agg(F.sum("n")).first()[0] == 4999 * 2500 and seen.test(np.arange(100, dtype=np.uint64)).all()
+
+
+def test_compared_sets_link_as_all_pairs_would():
+    draw = np.random.default_rng(8)
+    bases = [draw.choice(400, n, replace=False) for n in (5, 40, 120)]
+    sets = []
+    for _ in range(60):
+        base = bases[draw.integers(0, 3)]
+        sets.append(np.unique(np.r_[base[draw.random(len(base)) > 0.06], draw.integers(400, 900, draw.integers(0, 9))]).astype(np.uint64))
+    sets = [x for x in sets if len(x)]
+    mine = draw.integers(0, 2, len(sets))
+    alike = [(i, j) for i in range(len(sets)) for j in range(i)
+             if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))]
+    for n in (2, 5, len(sets)):
+        for low, high in ((0, 0), (0, 1), (1, 1)):
+            links = lines._alike(sets[:n], mine[:n], low, high, (4, 5))
+            want = [(i, j) for i, j in alike if i < n and sorted((mine[i], mine[j])) == [low, high]]
+            assert brute_components(range(n), links) == brute_components(range(n), want)
+            assert all((max(x), min(x)) in want for x in links) and len(links) < n
+
+
 def test_two_bits_of_each_sample_estimate_the_similarity():
     a = minhash.permutations(lines.BANDS * lines.ROWS)
     x = np.random.default_rng(5).integers(0, 1 << 63, 2000, dtype=np.uint64)
