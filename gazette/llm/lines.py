@@ -81,7 +81,7 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({
                 "place": batch.column("place").take(rows), "text_key": batch.column("text_key").take(rows),
                 "line": pa.array(number, pa.int32()), "node": pa.array(node, pa.binary()),
-                "text": pa.array(new, pa.binary()).cast(pa.string())})
+                "is_new": pa.array([x is not None for x in new], pa.bool_()), "text": pa.array(new, pa.binary()).cast(pa.string())})
 
 
 def _node_keys(batch: pa.RecordBatch) -> np.ndarray:
@@ -305,9 +305,9 @@ def _shared(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """Every line (place, text_key, line, node, text), from `kept`, and the (node, component) of the linked ones."""
-    made = kept(in_arrow(rows, _split, "place long, text_key long, line int, node binary, text string"), "lines")
-    texts = made.where("text is not null").select("node", "text")
+    """Every line (place, text_key, line, node, is_new, text), from `kept`, and the (node, component) of the linked ones."""
+    made = kept(in_arrow(rows, _split, "place long, text_key long, line int, node binary, is_new boolean, text string"), "lines")
+    texts = made.where("is_new").select("node", "text")
     # each different line is sampled once; only the texts of lines that several tasks may have are shuffled for it
     again = _seen_nodes(texts, made.count(), 2)
     shared = in_arrow(texts, _passing(again), "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
@@ -363,5 +363,5 @@ def unique_lines(docs: DataFrame, chars: int = CHARS, threshold: tuple[int, int]
             *[(F.when(F.col("gone").isNull(), text).otherwise(F.array_join(left, "\n")) if c == at("text")
                else F.col(c)).alias(n) for c, n in names],
             F.when(text.isNull(), 0).otherwise(
-                F.size(F.filter("all_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))).cast("long").alias("n_lines"),
+                F.size(F.filter("all_lines", lambda x: F.ltrim(x, F.lit(_ENDS.decode())) != ""))).cast("long").alias("n_lines"),
             F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")))
