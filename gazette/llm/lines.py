@@ -102,11 +102,15 @@ def _seen_nodes(nodes: DataFrame, n: int, at_least: int) -> Seen:
     return Seen(nodes.sparkSession, in_arrow(nodes.select("node"), _node_sketch(bits), PARTS), at_least, bits)
 
 
-def _passing(seen: Seen):
-    """The rows whose node may occur often enough."""
+def _passing(*seen: Seen):
+    """The rows whose node may occur often enough in one of the tables."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(seen.test(_node_keys(batch))))
+            keys = _node_keys(batch)
+            passed = np.zeros(len(keys), bool)
+            for one in seen:
+                passed |= one.test(keys)
+            yield batch.filter(pa.array(passed))
 
     return work
 
@@ -305,11 +309,14 @@ def _shared(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """Every line (place, text_key, line, node, is_new, text), from `kept`, and the (node, component) of the linked ones."""
+    """Lines (place, text_key, line, node), from `kept`, and the (node, component) of the linked ones.
+
+    All lines that occur twice or more or are linked are there; of the others, few.
+    """
     made = kept(in_arrow(rows, _split, "place long, text_key long, line int, node binary, is_new boolean, text string"), "lines")
     texts = made.where("is_new").select("node", "text")
-    # each different line is sampled once; only the texts of lines that several tasks may have are shuffled for it
-    again = _seen_nodes(texts, made.count(), 2)
+    # each different line is sampled once; only the texts of lines that may occur again are shuffled for it
+    again = _seen_nodes(made, made.count(), 2)
     shared = in_arrow(texts, _passing(again), "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
     marks = "node binary, bands binary, bits binary"
     sampled = kept(
@@ -325,7 +332,14 @@ def line_classes(rows: DataFrame, chars: int, threshold: tuple[int, int]) -> tup
     links = grouped(
         block_pairs(members.withColumn("pack", pack)), ["pack", "low", "high"],
         _compare(chars, threshold), "a binary, b binary")
-    return made, components(kept(links, "line-links"))
+    linked = kept(components(kept(links, "line-links")), "line-components")
+    # nor are lines grouped that stand alone
+    places = made.select("place", "text_key", "line", "node")
+    some = kept(in_arrow(
+        places, _passing(again, _seen_nodes(linked, linked.count(), 1)), "place long, text_key long, line int, node binary"),
+        "grouped-lines")
+    discard(made)
+    return some, linked
 
 
 def unique_lines(docs: DataFrame, chars: int = CHARS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -348,8 +362,7 @@ def unique_lines(docs: DataFrame, chars: int = CHARS, threshold: tuple[int, int]
     class_keepers = kept(classes.join(keepers, "component").select("node", "keeper"), "class-keepers")
     # the lines and what was shuffled for them go before the documents are shuffled
     gone = kept(
-        every.select("place", "text_key", "line", "node").join(class_keepers, "node")
-        .where(here != F.col("keeper"))
+        every.join(class_keepers, "node").where(here != F.col("keeper"))
         .groupBy("place", "text_key").agg(F.collect_set("line").alias("gone")), "gone-lines")
     discard(every, classes, keepers, class_keepers)
     names = [(f"c{i}", n) for i, n in enumerate(docs.columns) if n.lower() not in ("n_lines", "n_removed")]
