@@ -5,9 +5,11 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gazette.operators import joins, registry
+from gazette.operators.filters import in_range
 from gazette.plans import export, ingest, monthly
 from gazette.schemas import ARTICLE, ARTICLE_COLUMNS
 from gazette.sinks import articles as article_store, export as export_sink, messages as message_sink
@@ -15,6 +17,8 @@ from gazette.sinks import metrics as metric_store, registry as registry_store, v
 from gazette.sources import feeds, objects
 from gazette.streaming import counts as stream_counts, runner
 from gazette.operators.incremental import deduplicated_stream
+from gazette.workload import queries
+from gazette.workload.tables import EPOCH, PAGE_STEP
 
 UTC = dt.timezone.utc
 NOW = dt.datetime(2024, 11, 7, 12, tzinfo=UTC)
@@ -240,6 +244,46 @@ def test_json_objects(spark, tmp_path):
     assert objects.read_json_lines(spark, out).count() == 3
 
 
+def test_objects_are_listed_in_passes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(objects, "PASS", 4)
+    want = []
+    folders = {"": 6, "a": 3, "b [x]{1}*?": 5, "c/d=1": 9, "c/e": 1, "_f": 5, "c/.g": 2, "h/empty": 0}
+    for folder, n in folders.items():
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        for i in range(n):
+            (tmp_path / folder / f"{i} %41.json").write_text(json.dumps(article(f"{folder}/{i}")))
+        if "_f" not in folder and ".g" not in folder:
+            want += [f"l{folder}/{i}" for i in range(n)]
+    (tmp_path / "a" / "_hidden.json").write_text("no")
+    (tmp_path / "a" / "bad.json").write_text("{bad")
+    held = []
+    monkeypatch.setattr(objects, "in_range", lambda files, *days: held.append(len(files.inputFiles())) or in_range(files, *days))
+    good, bad = objects.read_objects(spark, str(tmp_path))
+    assert sorted(r.link for r in good.collect()) == sorted(want) and bad.count() == 1
+    assert max(held) <= 4 and sum(held) == len(want) + 1
+    good, _ = objects.read_objects(spark, f"{tmp_path}/c/[de]*")
+    assert sorted(r.link for r in good.collect()) == sorted(x for x in want if x.startswith("lc/"))
+    assert objects.read_objects(spark, str(tmp_path / "a" / "1 %41.json"))[0].first().link == "la/1"
+    assert objects.read_objects(spark, str(tmp_path / "h"))[0].count() == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        objects.read_objects(spark, str(tmp_path / "none"))
+
+
+def test_object_files_in_folders(spark, tmp_path, monkeypatch):
+    pages = [(i if i % 5 else None, f"http://h{i % 3}.example/{i % 20}" if i % 7 else None, "<p>x</p>") for i in range(60)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2).write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(queries, "_FOLDER", 8)
+    monkeypatch.setattr(objects, "PASS", 20)
+    passes, walk = [], objects._passes
+    monkeypatch.setattr(objects, "_passes", lambda *a: (passes.append(x) or x for x in walk(*a)))
+    got = queries.QUERIES["object_files"](spark, str(tmp_path)).collect()
+    want = [(url, url and url.split("/")[2], None if i is None else EPOCH + i * PAGE_STEP) for i, url, _ in pages]
+    assert sorted(map(str, ((r.link, r.rss, r.unixTime) for r in got))) == sorted(map(str, want))
+    folders = [one.removeprefix("file:") for x in passes for one in x]
+    n = [len([f for f in os.listdir(one) if f.endswith(".json")]) for one in folders]
+    assert max(n) <= 8 and sum(n) == 2 * len(pages) and len(passes) >= 6
+
+
 @pytest.mark.parametrize("file_format", ["csv", "json"])
 def test_export_round_trip(spark, tmp_path, file_format):
     src = str(tmp_path / "articles")
