@@ -104,6 +104,39 @@ def test_importances_are_those_of_the_definition(spark):
     assert sorted(got) == sorted(want) and want
 
 
+def test_furniture_has_blocks_of_its_own():
+    page = ("<head><title>T</title><script>no()</script></head><nav>m<ul><li><a href=1>Home</a><li>x &amp; y</ul>tail</nav>"
+            "<article><p>a<button>Buy <b>it</b><br></button>b<span hidden>h</span>c</p></article><footer><a href=2>f</a></footer>end")
+    found, title = sitetree.blocks(page)
+    assert title == "T"
+    assert [b.text for b in found if b.furniture] == ["m", "Home", "x & y", "tail", "Buy it", "h", "f"]
+    assert [b.text for b in found if not b.furniture] == ["a bc", "end"] and main(page) == ["a bc"]
+    by = {b.text: b for b in found}
+    assert by["m"].node == by["tail"].node and by["Home"].node == by["x & y"].node != by["m"].node
+    assert [by[x].links for x in ("Home", "f", "m", "end")] == [4, 1, 0, 0]
+    assert [by[x].n_children for x in ("Home", "Buy it", "a bc")] == [1, 2, 0]
+    assert main("<p>x</p>") and all(b.furniture for b in sitetree.blocks("<nav>a<p>b</nav><aside>c")[0])
+
+
+def test_the_tree_has_the_whole_page(spark):
+    rows = [(i, f"http://h.example/{i}", f"<title>T{i}</title><nav><a href=/>Home</a></nav><div class=ad>Buy {i % 3}</div>"
+             f"<article><p>Text {i}</p></article><p>Beside</p><footer>f {i}</footer>") for i in range(12)]
+    got = sorted((x.m, x.n, round(x.content, 9)) for x in sitetree.style_tree(table(spark, rows)).collect())
+    one = (12, 12, 0.0)
+    assert got == sorted([one, one] + [(12, 4, round(1 - math.log(4, 12), 9))] * 3)
+    assert texts(spark, rows) == sorted(((i, f"Text {i}", 0) for i, _, _ in rows), key=str)
+
+
+def test_the_article_is_chosen_without_what_a_site_repeats(spark):
+    legal = "The same long legal text stands on every page. " * 20
+    rows = [(i, f"http://h.example/{i}", f"<title>T{i}</title><div class='legal content'><p>{legal}</p></div>"
+             f"<div class='post'><p>Post {i}</p></div>") for i in range(12)]
+    assert texts(spark, rows) == sorted(((i, f"Post {i}", 0) for i, _, _ in rows), key=str)
+    # an article that is all repeated stays empty: what stands beside it is not the article
+    rows = [(i, u, f"<title>T{i}</title><article><p>Gone</p></article><p>Beside {i}</p>") for i, u, _ in rows]
+    assert texts(spark, rows) == sorted(((i, "", 1) for i, _, _ in rows), key=str)
+
+
 def test_awkward(spark):
     long = "<article>" + "".join(f"<p>{'word ' * 50}{i}</p>" for i in range(20_000)) + "</article>"
     rows = [(None, None, None), (1, None, ""), (2, "http://x.example/", None), (3, "", "<p>x</p>"), (3, "", "<p>x</p>"),
